@@ -1,0 +1,83 @@
+"""SQLite files as a Spark data source, read in parallel ranges of the row id.
+
+The file has to lie where every executor can open it.  Each task streams its
+own range in Arrow batches, so no task holds more than one batch.
+"""
+
+from __future__ import annotations
+
+import sqlite3
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StructType
+
+from gradewell import types as t
+
+BATCH_ROWS = 50_000
+
+
+@dataclass
+class RowRange(InputPartition):
+    low: int
+    high: int
+
+
+def quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+class SqliteReader(DataSourceReader):
+    def __init__(self, schema: StructType, options: dict[str, str]):
+        self.schema = schema
+        self.path = options["path"]
+        self.table = options["dbtable"]
+        self.row_id = options.get("rowidcolumn")
+        self.parts = int(options.get("numpartitions", "8"))
+
+    def connect(self) -> sqlite3.Connection:
+        return sqlite3.connect(f"file:{self.path}?mode=ro", uri=True)
+
+    def partitions(self) -> list[RowRange]:
+        with self.connect() as db:
+            low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {quoted(self.table)}").fetchone()
+        if low is None:
+            return [RowRange(0, 0)]
+        width = max(1, -(-(high - low + 1) // self.parts))
+        return [RowRange(start, min(start + width, high + 1)) for start in range(low, high + 1, width)]
+
+    def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        columns = ", ".join("rowid" if f.name == self.row_id else quoted(f.name) for f in self.schema.fields)
+        arrow = to_arrow_schema(self.schema)
+        with self.connect() as db:
+            cursor = db.execute(
+                f"SELECT {columns} FROM {quoted(self.table)} WHERE rowid >= ? AND rowid < ?",
+                (partition.low, partition.high),
+            )
+            while rows := cursor.fetchmany(BATCH_ROWS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, type=f.type) for values, f in zip(zip(*rows), arrow)], schema=arrow
+                )
+
+
+class SqliteSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "sqlite_file"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return SqliteReader(schema, self.options)
+
+
+def load_sqlite(spark: SparkSession, path: str, table: str = "students", schema: StructType = t.STUDENTS, row_id: str | None = "attempt_id", partitions: int = 8) -> DataFrame:
+    """A table of a SQLite file; ``row_id`` names the column filled with the row id."""
+    spark.dataSource.register(SqliteSource)
+    options = {"dbtable": table, "numPartitions": str(partitions)}
+    if row_id:
+        options["rowIdColumn"] = row_id
+    return spark.read.format("sqlite_file").schema(schema).options(**options).load(path)
