@@ -75,16 +75,25 @@ def curriculum_matches(modules: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
 
     situation = ["module_id", "study_regulations_year", "semester_of_matriculation"]
-    foreign = candidates.groupBy(*situation).agg(F.min(ranked(False)).alias("any_field"))
+    foreign = candidates.groupBy(*situation).agg(F.min(ranked(False)).alias("best"))
     own = (
         candidates.filter(F.col("field_of_study").isNotNull())
         .groupBy(*situation, F.col("field_of_study").cast("bigint").alias("field_of_study"))
-        .agg(F.min(ranked(True)).alias("own_field"))
+        .agg(F.min(ranked(True)).alias("own"))
+        .join(foreign, situation)
+        .select(*situation, "field_of_study", F.least("own", "best").alias("best"))
     )
-    own = own.join(foreign, situation).select(
-        *situation, "field_of_study", F.least("own_field", "any_field").alias("own_field")
-    )
-    return own, foreign
+
+    def flat(table: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+        quality = F.when(F.col("best.module_title").isNull(), NO_MATCH).otherwise(F.col("best.score"))
+        return table.select(
+            F.col("module_id").alias("module_number"),
+            *keys,
+            quality.alias(f"{prefix}_quality"),
+            *[F.col(f"best.{name}").alias(f"{prefix}_{name}") for name in MATCH_FIELDS],
+        )
+
+    return flat(own, [*situation[1:], "field_of_study"], "own"), flat(foreign, situation[1:], "any")
 
 
 def best_module_match(rows: DataFrame, modules: DataFrame) -> DataFrame:
@@ -95,14 +104,17 @@ def best_module_match(rows: DataFrame, modules: DataFrame) -> DataFrame:
     """
     own, foreign = curriculum_matches(modules)
     situation = ["module_number", "study_regulations_year", "semester_of_matriculation"]
-    own = own.withColumnRenamed("module_id", "module_number")
-    foreign = foreign.withColumnRenamed("module_id", "module_number")
     joined = rows.join(foreign, situation, "left").join(own, [*situation, "field_of_study"], "left")
-    match = F.coalesce("own_field", "any_field")
-    quality = F.when(match["module_title"].isNull(), NO_MATCH).otherwise(match["score"])
-    return joined.withColumns(
-        {**{name: match[name] for name in MATCH_FIELDS}, "match_quality": quality}
-    ).drop("own_field", "any_field")
+    listed = F.col("own_quality").isNotNull()
+
+    def chosen(name: str) -> Column:
+        return F.when(listed, F.col(f"own_{name}")).otherwise(F.col(f"any_{name}"))
+
+    return joined.select(
+        *[joined[c] for c in rows.columns],
+        *[chosen(name).alias(name) for name in MATCH_FIELDS],
+        F.coalesce(chosen("quality"), F.lit(NO_MATCH)).alias("match_quality"),
+    )
 
 
 # --- attempts of a student in a module ---------------------------------------
@@ -123,42 +135,45 @@ def attempt_cells(clean: DataFrame) -> DataFrame:
 
 
 def student_state(students: DataFrame) -> DataFrame:
-    """Graduation per student and how often the student occurs in the dimension."""
-    return students.groupBy("student_id").agg(
-        F.max("graduation_flag").alias("graduation_flag"), F.count("*").cast("int").alias("copies")
-    )
+    """Graduation per dimension row, the rows of a student numbered."""
+    number = F.row_number().over(Window.partitionBy("student_id").orderBy("field_of_study"))
+    return students.select("student_id", "graduation_flag", number.alias("copy"))
 
 
 def cell_history(clean: DataFrame, students: DataFrame) -> DataFrame:
-    """Per cell: what happened to the student in the module before and in this term."""
-    group = Window.partitionBy("student_id", "module_number")
-    earlier = group.orderBy("term_counter").rowsBetween(Window.unboundedPreceding, -1)
+    """Per cell: what happened to the student in the module before and in this term.
+
+    Joining the student dimension here repeats a cell for every dimension row of
+    its student, which is what joining it to the attempts would do to them.
+    """
+    order = Window.partitionBy("student_id", "module_number", "copy").orderBy("term_counter")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
 
     def terms_before(first_id: str) -> Column:
         return F.coalesce(F.sum(flag(F.col(first_id).isNotNull())).over(earlier), zero)
 
     cells = attempt_cells(clean).join(student_state(students), "student_id")
-    return (
-        cells.withColumn("last_term", F.max("term_counter").over(group))
-        .withColumn("never_passed", F.sum("passes").over(group) == 0)
-        .withColumn("passed_before", F.coalesce(F.sum("passes").over(earlier), zero) > 0)
-        .withColumn(
-            "first_counted_id",
-            F.least("first_fail_id", F.when(F.col("term_counter") == F.col("last_term"), F.col("first_pass_id"))),
-        )
-        .select(
-            *CELL,
-            "graduation_flag",
-            "copies",
-            "last_term",
-            "never_passed",
-            F.when(~F.col("passed_before"), F.col("first_pass_id")).alias("credit_id"),
-            "first_counted_id",
-            "first_withdrawal_id",
-            terms_before("first_counted_id").alias("tries_before"),
-            terms_before("first_withdrawal_id").alias("withdrawals_before"),
-        )
+    known = cells.select(
+        "*",
+        F.max("term_counter").over(whole).alias("last_term"),
+        (F.sum("passes").over(whole) == 0).alias("never_passed"),
+        F.coalesce(F.sum("passes").over(earlier), zero).alias("passes_before"),
+        terms_before("first_withdrawal_id").alias("withdrawals_before"),
+    )
+    last_pass = F.when(F.col("term_counter") == F.col("last_term"), F.col("first_pass_id"))
+    return known.withColumn("first_counted_id", F.least("first_fail_id", last_pass)).select(
+        *CELL,
+        "copy",
+        "graduation_flag",
+        "last_term",
+        "never_passed",
+        F.when(F.col("passes_before") == 0, F.col("first_pass_id")).alias("credit_id"),
+        "first_counted_id",
+        "first_withdrawal_id",
+        terms_before("first_counted_id").alias("tries_before"),
+        "withdrawals_before",
     )
 
 
@@ -212,9 +227,7 @@ def attach_history(
         hot_students = counted.filter(F.col("n_rows") > rows_per_task).select("student_id")
     hot = hot_groups(clean, CELL, hot_students, "student_id", total, rows_per_task)
     rows = join_split(clean, cell_history(clean, students), CELL, hot, "attempt_id")
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).withColumn(
-        "study_regulations_year", rules.regulations_year(F.col("year_of_matriculation"))
-    )
+    return rows.withColumn("study_regulations_year", rules.regulations_year(F.col("year_of_matriculation")))
 
 
 def enriched_attempts(

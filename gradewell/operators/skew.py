@@ -42,19 +42,19 @@ def hot_groups(
 def join_split(
     rows: DataFrame, lookup: DataFrame, keys: list[str], hot: DataFrame, spread_by: str, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join of many rows with a lookup unique on ``keys``, hot keys spread over several tasks."""
-    hot = F.broadcast(hot)
+    """Equi-join of many rows with a lookup unique on ``keys``, hot keys spread over several tasks.
+
+    The lookup grows with the data, so the join is asked to sort and merge
+    rather than to broadcast it on a size estimate.
+    """
     split_rows = (
-        rows.join(hot, keys, "left")
-        .withColumn("_split", F.when(F.col("splits").isNull(), 0).otherwise(F.expr(f"pmod(xxhash64({spread_by}), splits)")).cast("int"))
-        .drop("splits")
-    )
-    split_lookup = (
-        lookup.join(hot, keys, "left")
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("splits"), F.lit(1)) - 1)))
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn("_split", F.coalesce(F.expr(f"pmod(xxhash64({spread_by}), splits)").cast("int"), F.lit(0)))
         .drop("splits")
     )
-    return split_rows.join(split_lookup, [*keys, "_split"], how).drop("_split")
+    every_split = hot.select(*keys, F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("_split"))
+    split_lookup = lookup.join(F.broadcast(every_split), keys, "left").fillna(0, ["_split"])
+    return split_rows.join(split_lookup.hint("merge"), [*keys, "_split"], how).drop("_split")
 
 
 def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, value: Column, name: str) -> DataFrame:

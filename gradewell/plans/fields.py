@@ -10,8 +10,8 @@ from gradewell.functions.numeric import flag, mean_grade, r, ratio
 from gradewell.plans.cohorts import thesis_failed_for_good
 from gradewell.plans.progress import passed_credits, passed_points
 
-# Weights of this year and the two before it in the smoothed enrolments.
-EWMA_WEIGHTS = (0.5, 0.3, 0.2)
+# Weights, in tenths, of this row and the two before it in the smoothed enrolments.
+EWMA_TENTHS = (5, 3, 2)
 KEYS = ("field_of_study", "year")
 
 
@@ -127,16 +127,14 @@ def with_growth(enrolments: DataFrame) -> DataFrame:
 def with_ewma(enrolments: DataFrame) -> DataFrame:
     """Weighted mean of three rows and the deviation from it in percent."""
     count = F.col("matriculations_count")
-    now, one, two = EWMA_WEIGHTS
-    smoothed = (
-        F.lit(now) * count + F.lit(one) * F.coalesce(_previous(1), count) + F.lit(two) * F.coalesce(_previous(2), count)
-    )
-    with_raw = enrolments.withColumn("_smoothed", smoothed)
-    raw = F.col("_smoothed")
+    now, one, two = EWMA_TENTHS
+    tenths = now * count + one * F.coalesce(_previous(1), count) + two * F.coalesce(_previous(2), count)
+    smoothed = F.col("_tenths")
     return (
-        with_raw.withColumn("ewma_enrollments", r(raw, 2))
-        .withColumn("growth_rate_vs_ewma_percent", r(ratio(count - raw, raw) * 100, 2))
-        .drop("_smoothed")
+        enrolments.withColumn("_tenths", tenths)
+        .withColumn("ewma_enrollments", r(smoothed / 10, 2))
+        .withColumn("growth_rate_vs_ewma_percent", r(ratio(count * 10 - smoothed, smoothed) * 100, 2))
+        .drop("_tenths")
     )
 
 
