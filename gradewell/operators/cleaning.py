@@ -70,6 +70,22 @@ def split_enum_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(valid_enums()), rows.filter(~valid_enums())
 
 
+def enum_usage(rows: DataFrame) -> DataFrame:
+    """Every label of every domain with its position and its number of rows."""
+    counts = rows.agg(
+        *[F.count_if(F.col(c) == label).alias(f"{c}:{label}") for c, domain in ENUM_DOMAINS.items() for label in domain]
+    )
+    labels = [
+        F.struct(
+            F.lit(c).alias("enum"), F.lit(label).alias("label"), F.lit(position).alias("position"),
+            F.col(f"`{c}:{label}`").alias("n_rows"),
+        )
+        for c, domain in ENUM_DOMAINS.items()
+        for position, label in enumerate(domain)
+    ]
+    return counts.select(F.inline(F.array(*labels)))
+
+
 CLEAN_COLUMNS = (
     "attempt_id", "student_id", "module_number", "field_of_study", "grade", "grade_numeric",
     "exam_status", "semester_type", "year", "exam_annotation",

@@ -39,8 +39,11 @@ def _rates(weighted: DataFrame, *keys: str) -> DataFrame:
         .groupBy(*keys)
         .agg(F.percentile(F.col("grade").cast("double"), 0.5, weight).alias("median_note"))
     )
-    joined = totals.join(medians, list(keys), "left") if keys else totals.join(F.broadcast(medians))
-    return joined.select(
+    if keys:
+        totals = totals.join(medians, list(keys), "left")
+    else:
+        totals = totals.withColumn("median_note", medians.scalar())
+    return totals.select(
         *keys,
         "gesamt_anzahl_module",
         percent(F.col("passed"), F.col("all")).alias("bestehensquote_prozent"),
@@ -90,10 +93,8 @@ def studiengang_kpi_view(enriched: DataFrame, modules: DataFrame) -> DataFrame:
     """Rates of the whole programme, one row."""
     attempts = _decided(enriched)
     rates = _rates(_outcome_counts(attempts).join(catalogue_weights(modules), "module_id"))
-    students = _catalogued(attempts, modules).select("student_id").distinct().agg(
-        F.count("student_id").alias("gesamt_anzahl_studierende")
-    )
-    return rates.join(F.broadcast(students)).select(*RATE_COLUMNS)
+    students = _catalogued(attempts, modules).select("student_id").distinct().agg(F.count("student_id"))
+    return rates.withColumn("gesamt_anzahl_studierende", students.scalar()).select(*RATE_COLUMNS)
 
 
 def _shares(passed: Column, attempts: Column) -> tuple[Column, Column]:

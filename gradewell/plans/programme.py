@@ -8,7 +8,7 @@ which the replication shows (no graduate, a single joined row) are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell import types as t
@@ -84,28 +84,25 @@ def studiengang_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame, pr
         F.percentile(grade, 0.5, F.when(grade.isNull(), 0).otherwise(weight)).alias("median"),
         F.sum(weight).alias("joined_rows"),
     )
-    graduates = students_with_degree(fact).agg(F.count("*").alias("graduates"))
-    in_time = students_in_standard_period(fact, students).agg(F.count("*").alias("in_time"))
-    # Five one-row frames put side by side.
-    row = counts
-    for part in (grades, graduates, in_time, program_offtrack(progress), program_avg_terms(students)):
-        row = row.crossJoin(F.broadcast(part))
-    any_graduate = F.col("graduates") > 0
-
-    def if_any(value):
-        return F.when(any_graduate, value)
-
-    off = F.lit(100.0) * F.col("total_offtrack_semesters") / F.nullif(F.col("total_semesters"), F.lit(0))
-    in_time_share = ratio(F.col("in_time"), F.col("graduates"))
-    return row.select(
+    graduates = students_with_degree(fact).agg(F.count("*")).scalar()
+    in_time = students_in_standard_period(fact, students).agg(F.count("*")).scalar()
+    off_track = program_offtrack(progress)
+    terms_on, terms_all = off_track.select("total_offtrack_semesters").scalar(), off_track.select("total_semesters").scalar()
+
+    def if_any(value: Column) -> Column:
+        return F.when(graduates > 0, value)
+
+    off = ratio(F.lit(100.0) * terms_on, terms_all)
+    share = r(ratio(in_time, graduates) * 100, 2)
+    return counts.select(
         F.lit("entire_program").alias("study_program_label"),
         F.coalesce(if_any(F.col("present")), F.lit(0)).cast("bigint").alias("students_total_count"),
         if_any(percent(F.col("degrees"), F.col("present"))).alias("graduation_rate"),
         if_any(percent(F.col("dropouts"), F.col("present"))).alias("dropout_rate"),
-        if_any(F.col("mean")).alias("weighted_avg_program_grade"),
-        if_any(F.col("median")).alias("median_program_grade"),
+        if_any(grades.select("mean").scalar()).alias("weighted_avg_program_grade"),
+        if_any(grades.select("median").scalar()).alias("median_program_grade"),
         r(off, 2).alias("offtrack_rate"),
         r(100 - off, 2).alias("ontrack_rate"),
-        if_any(F.col("avg_terms_taken")).alias("avg_terms_taken"),
-        F.when(F.col("joined_rows") * F.col("graduates") != 1, r(in_time_share * 100, 2)).alias("master_on_track_percent"),
+        if_any(program_avg_terms(students).scalar()).alias("avg_terms_taken"),
+        F.when(grades.select("joined_rows").scalar() * graduates != 1, share).alias("master_on_track_percent"),
     )

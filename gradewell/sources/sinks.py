@@ -11,9 +11,9 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def save_as_table(df: DataFrame, name: str) -> DataFrame:
-    """Create or replace a catalogue table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def create_or_replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Create or replace a catalogue table whose files lie in ``path``."""
+    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
