@@ -15,9 +15,9 @@ from gradewell.oracle import kpis, layers, statements
 TABLES: dict[str, str] = {**layers.TABLES, **kpis.TABLES}
 
 
-def with_tables(statement: str) -> str:
-    """Prefix a statement with the table definitions it needs."""
-    needed: set[str] = set()
+def with_tables(statement: str, given: tuple[str, ...] = ()) -> str:
+    """Prefix a statement with the table definitions it needs, except those ``given``."""
+    needed: set[str] = set(given)
     queue = [statement]
     while queue:
         text = queue.pop()
@@ -25,6 +25,7 @@ def with_tables(statement: str) -> str:
             if name not in needed and re.search(rf"\b{name}\b", text):
                 needed.add(name)
                 queue.append(TABLES[name])
+    needed -= set(given)
     if not needed:
         return statement
     body = ",\n".join(f"{name} AS MATERIALIZED (\n{TABLES[name].strip()}\n)" for name in TABLES if name in needed)

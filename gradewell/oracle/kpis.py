@@ -21,8 +21,8 @@ SELECT year, semester_type,
 FROM fact10 JOIN dim_zeit USING (time_id) GROUP BY ALL
 """,
     "studienrichtung_mark_kpi": """
-SELECT round(avg(a), 2) AS students_with_thesis_avg_final_grade, round(avg(t), 2) AS students_with_thesis_avg_master_thesis_grade
-FROM (SELECT student_id, sum(g10) / (10 * count(g10)) AS a, min(grade_numeric) FILTER (WHERE module_id = 'I707') AS t FROM fact10 GROUP BY student_id)
+SELECT round(avg(a), 2) AS students_with_thesis_avg_final_grade, round(sum(t) / (10 * count(*)), 2) AS students_with_thesis_avg_master_thesis_grade
+FROM (SELECT student_id, sum(g10) / (10 * count(g10)) AS a, min(g10) FILTER (WHERE module_id = 'I707') AS t FROM fact10 GROUP BY student_id)
 WHERE t IS NOT NULL
 """,
     "term_progress": """

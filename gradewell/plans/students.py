@@ -95,5 +95,7 @@ def studienrichtung_mark_kpi(fact: DataFrame) -> DataFrame:
     )
     return per_student.agg(
         r(F.avg("avg_grade"), 2).alias("students_with_thesis_avg_final_grade"),
-        r(F.avg("thesis_grade"), 2).alias("students_with_thesis_avg_master_thesis_grade"),
+        r(mean_grade(F.sum(tenths(F.col("thesis_grade"))), F.count("*")), 2).alias(
+            "students_with_thesis_avg_master_thesis_grade"
+        ),
     )

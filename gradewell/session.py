@@ -7,16 +7,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int = 8, app: str = "gradewell", **conf: str) -> SparkSession:
+def local_session(cores: int = 8, app: str = "gradewell", memory: str = "4g", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
