@@ -48,6 +48,11 @@ def _columns(name: str, *columns: str) -> Query:
 # --- sources and sinks --------------------------------------------------------
 
 
+def _scan_students(w: Warehouse) -> DataFrame:
+    w.ref("students")
+    return readers.read_students(w.spark, w.path("students"))
+
+
 def _seed_module(w: Warehouse) -> DataFrame:
     """The curriculum written as CSV and read with the seed reader."""
     path = w.path(f"seed-{uuid.uuid4().hex}")
@@ -89,7 +94,7 @@ def _create_or_replace_table(w: Warehouse) -> DataFrame:
 
 
 SOURCES: dict[str, Query] = {
-    "scan_students": _on(lambda w: readers.read_students(w.spark, w.ref("students").inputFiles()[0].rsplit("/", 1)[0])),
+    "scan_students": _on(_scan_students),
     "seed_module": _on(_seed_module),
     "scan_student_ml": _on(lambda w: w.ref("student_ml")),
     "lookup_field": _on(_lookup_field),

@@ -22,8 +22,12 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def tenths(grade: Column) -> Column:
-    """A grade as whole tenths, so that sums of grades are exact integers."""
-    return F.round(grade * 10, 0).cast("bigint")
+    """A grade as whole tenths, so that sums of grades are exact integers.
+
+    Grades have one decimal; the floor of the shifted product is their nearest
+    tenth and far cheaper per row than a decimal rounding.
+    """
+    return F.floor(grade.cast("double") * 10 + 0.5)
 
 
 def mean_grade(sum_of_tenths: Column, weight: Column) -> Column:

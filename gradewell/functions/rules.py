@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -13,6 +14,8 @@ GRADE_TYPE = "decimal(3,1)"
 
 # --- fixed values: raw spellings and the value they stand for ----------------
 BEST_GRADE_TYPO = "10"
+BLANKS = "\t\n\f\r "
+BEST, PASS_LIMIT, FAIL = Decimal("1.0"), Decimal("4.0"), Decimal("5.0")
 NON_GRADES = ("0,0 mE", "02.01.1900", "angemeldet", "bestanden")
 SUCCESS_REMARK = "mit Erfolg"
 NOT_SITTING_REMARKS = ("krank", "nicht zugelassen")
@@ -57,7 +60,7 @@ def clean_grade(note: Column) -> Column:
     """Grade text without blanks and line ends; markers that are no grade give NULL."""
     return first_match(
         (note == BEST_GRADE_TYPO, F.lit("1,0")),
-        (~note.isin(*NON_GRADES), F.regexp_replace(note, r"[\t\n\f\r ]+", "")),
+        (~note.isin(*NON_GRADES), F.translate(note, BLANKS, "")),
     )
 
 
@@ -76,8 +79,8 @@ def exam_status(note: Column, remark: Column, cleaned: Column, number: Column) -
         (remark.isin(*NOT_SITTING_REMARKS), t.WITHDRAWN),
         ((note == REGISTERED_ONLY) & remark.isNull(), t.WITHDRAWN),
         (remark == NO_SHOW_REMARK, t.FAILED),
-        (number.between(1.0, 4.0), t.PASSED),
-        (number == 5.0, t.FAILED),
+        (number.between(BEST, PASS_LIMIT), t.PASSED),
+        (number == FAIL, t.FAILED),
         (remark == t.WITHDRAWN, t.WITHDRAWN),
         (~no_grade, t.PASSED),
     )

@@ -85,7 +85,7 @@ def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, valu
     within = Window.partitionBy(*block).orderBy(row_id).rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0).cast("bigint")
     return (
-        rows.join(block_start, block)
+        rows.join(block_start.hint("merge"), block)
         .withColumn(
             name,
             F.sum("_value").over(within) + F.coalesce("_cell_start", zero) + F.coalesce("_block_start", zero),

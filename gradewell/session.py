@@ -19,6 +19,7 @@ def local_session(cores: int = 8, app: str = "gradewell", memory: str = "4g", **
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.files.openCostInBytes", str(1 << 20))
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -31,8 +31,8 @@ def derive_students(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
         "l_partkey",
         (F.col("l_orderkey") * 100 + F.row_number().over(in_order)).alias("attempt_id"),
         F.col("l_quantity").cast("int").alias("qty"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("disc"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("tax"),
+        F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("disc"),
+        F.floor(F.col("l_tax") * 100 + 0.5).cast("int").alias("tax"),
         F.col("l_returnflag").alias("rf"),
         F.col("l_linestatus").alias("ls"),
     )

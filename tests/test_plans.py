@@ -25,7 +25,7 @@ def test_no_python_and_no_product(spark, small_folder, name):
 
 def test_filter_and_columns_reach_the_scan(small):
     text = plan(cleaning.filter_main_grades(small.ref("students")).select("attempt_id"))
-    assert "StringContains(Modul,PVL)" in text
+    assert "StringContains(Modul,APL)" in text
     assert "ReadSchema: struct<attempt_id:bigint,Modul:string>" in text
 
 
