@@ -20,7 +20,7 @@ from gradewell.functions import rules  # noqa: E402
 from gradewell.operators import cleaning, dimensions, enrichment, quality, streaks  # noqa: E402
 from gradewell.oracle import oracle_sql as _oracle_sql  # noqa: E402
 from gradewell.plans import checks, cohorts, documented_views, fields, modules, programme, progress, risk, students  # noqa: E402
-from gradewell.plans.warehouse import KPIS, LAYERS, Warehouse, fixture_warehouse  # noqa: E402
+from gradewell.plans.warehouse import INTERNAL, KPIS, LAYERS, Warehouse, fixture_warehouse  # noqa: E402
 from gradewell.sources import fixtures, readers, sinks  # noqa: E402
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -70,7 +70,7 @@ def _ref(w: Warehouse) -> DataFrame:
     counts = [
         w.ref(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
         for name in (*LAYERS, *KPIS)
-        if name not in ("student_profile", "module_mark_kpi", "module_status_kpi", "student_kpi_ml")
+        if name not in (*INTERNAL, "module_mark_kpi", "module_status_kpi", "student_kpi_ml")
     ]
     result = counts[0]
     for count in counts[1:]:
@@ -243,7 +243,7 @@ PARTS: dict[str, Query] = {
     "module_exam_delay": _on(lambda w: modules.module_exam_delay(w.ref("stg_students_with_credits"))),
     "module_acronym": _on(lambda w: modules.module_acronym(w.ref("dim_modul"))),
     "cohort_ontrack": _on(lambda w: cohorts.cohort_ontrack(w.ref("fact_kpi"), w.ref("dim_students"))),
-    "program_offtrack": _on(lambda w: programme.program_offtrack(w.ref("study_progress_kpi"))),
+    "program_offtrack": _on(lambda w: programme.program_offtrack(w.ref("study_progress_rows"))),
     "program_avg_terms": _on(lambda w: programme.program_avg_terms(w.ref("dim_students"))),
     "students_with_degree": _fact(programme.students_with_degree),
     "students_in_standard_period": _on(
@@ -281,7 +281,7 @@ DOCUMENTED: dict[str, Query] = {
     "risk_flag": _on(lambda w: risk.risk_flag(w.ref("student_kpi"), w.ref("dim_students"))),
     "early_warning_metrics": _on(
         lambda w: risk.early_warning_metrics(
-            w.ref("student_kpi"), w.ref("dim_students"), progress.study_progress(w.ref("fact_kpi")), w.ref("stg_students_clean")
+            w.ref("student_kpi"), w.ref("dim_students"), w.ref("study_progress_rows"), w.ref("stg_students_clean")
         )
     ),
     "dedupe_raw": _on(lambda w: checks.dedupe_raw(w.ref("students"))),
@@ -328,7 +328,7 @@ def _model(name: str) -> Query:
     return _on(lambda w: w.ref(name))
 
 
-MODELS: dict[str, Query] = {name: _model(name) for name in (*LAYERS, *KPIS) if name != "student_profile"}
+MODELS: dict[str, Query] = {name: _model(name) for name in (*LAYERS, *KPIS) if name not in INTERNAL}
 
 
 def queries() -> dict[str, Query]:

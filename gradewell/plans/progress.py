@@ -77,9 +77,13 @@ def study_progress(fact: DataFrame) -> DataFrame:
     )
 
 
-def study_progress_kpi(fact: DataFrame, students: DataFrame) -> DataFrame:
-    inactivity = students.select("student_id", "inactivity_flag")
-    return study_progress(fact).join(inactivity, "student_id").orderBy("student_id", "term_counter")
+def study_progress_rows(fact: DataFrame, students: DataFrame) -> DataFrame:
+    """Study progress with the inactivity of the student, in no particular order."""
+    return study_progress(fact).join(students.select("student_id", "inactivity_flag"), "student_id")
+
+
+def study_progress_kpi(rows: DataFrame) -> DataFrame:
+    return rows.orderBy("student_id", "term_counter")
 
 
 def active_students_kpi(enriched: DataFrame, students: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def student_kpi(fact: DataFrame) -> DataFrame:
     )
 
 
-def student_kpi_ml(fact: DataFrame, scores: DataFrame) -> DataFrame:
+def student_kpi_ml(kpi: DataFrame, scores: DataFrame) -> DataFrame:
     """Student KPIs with the scores of the prediction model.
 
     Scores are one row per student.  Should a student have several, the
@@ -77,7 +77,7 @@ def student_kpi_ml(fact: DataFrame, scores: DataFrame) -> DataFrame:
         F.count("*").alias("score_rows"), *[F.min(c).alias(c) for c in SCORES]
     )
     times = F.coalesce("score_rows", F.lit(1))
-    joined = student_kpi(fact).join(per_student, "student_id", "left")
+    joined = kpi.join(per_student, "student_id", "left")
     additive = ("modules_count", "modules_passed_count", "failed_attempts_count", "modules_failed_count", "credits_total_count")
     return joined.withColumns({c: F.col(c) * times for c in additive}).drop("score_rows")
 

@@ -1,9 +1,10 @@
 """Named tables and where they are kept.
 
-Raw tables and the silver and star layers are stored once as Parquet in the
-shared folder and read from there by everything above, so a KPI table reads the
-fact instead of repeating the cleaning, and losing executors costs no more than
-the running stage.  KPI tables are plain DataFrames; ``store`` writes them.
+Raw tables, the silver and star layers and the two KPI tables others build on
+are stored once as Parquet in the shared folder and read from there by
+everything above, so a KPI table reads the fact instead of repeating the
+cleaning, and losing executors costs no more than the running stage.  The other
+KPI tables are plain DataFrames; ``store`` writes them.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ LAYERS: dict[str, Build] = {
         w.ref("stg_students_with_credits"), w.ref("dim_students")
     ),
     "fact_kpi": lambda w: fact.fact_kpi(w.ref("stg_students_with_credits"), w.ref("dim_modul"), w.ref("dim_zeit")),
+    "study_progress_rows": lambda w: progress.study_progress_rows(w.ref("fact_kpi"), w.ref("dim_students")),
+    "student_kpi": lambda w: students.student_kpi(w.ref("fact_kpi")),
 }
 
 KPIS: dict[str, Build] = {
@@ -59,19 +62,20 @@ KPIS: dict[str, Build] = {
     "module_boxplot_kpi": lambda w: modules.module_boxplot_kpi(w.ref("fact_kpi")),
     "modul_kpi": lambda w: modules.modul_kpi(w.ref("fact_kpi"), w.ref("stg_students_with_credits"), w.ref("dim_modul")),
     "grade_development_kpi": lambda w: progress.grade_development_kpi(w.ref("fact_kpi"), w.ref("dim_zeit")),
-    "study_progress_kpi": lambda w: progress.study_progress_kpi(w.ref("fact_kpi"), w.ref("dim_students")),
+    "study_progress_kpi": lambda w: progress.study_progress_kpi(w.ref("study_progress_rows")),
     "studienrichtung_mark_kpi": lambda w: students.studienrichtung_mark_kpi(w.ref("fact_kpi")),
-    "student_kpi": lambda w: students.student_kpi(w.ref("fact_kpi")),
-    "student_kpi_ml": lambda w: students.student_kpi_ml(w.ref("fact_kpi"), w.ref("student_ml")),
+    "student_kpi_ml": lambda w: students.student_kpi_ml(w.ref("student_kpi"), w.ref("student_ml")),
     "cohort_kpi": lambda w: cohorts.cohort_kpi(w.ref("fact_kpi"), w.ref("dim_students"), w.ref("dim_modul")),
     "studiengang_kpi": lambda w: programme.studiengang_kpi(
-        w.ref("fact_kpi"), w.ref("dim_students"), w.ref("dim_modul"), w.ref("study_progress_kpi")
+        w.ref("fact_kpi"), w.ref("dim_students"), w.ref("dim_modul"), w.ref("study_progress_rows")
     ),
     "studiengangsvergleich_kpi": lambda w: fields.studiengangsvergleich_kpi(
         w.ref("fact_kpi"), w.ref("dim_zeit"), w.ref("dim_students")
     ),
 }
 
+# Stored intermediates that are no table of their own.
+INTERNAL = ("student_profile", "study_progress_rows")
 MODELS: dict[str, Build] = {**LAYERS, **KPIS}
 
 

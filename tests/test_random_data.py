@@ -17,7 +17,7 @@ from compare import assert_same
 from gradewell import types as t
 from gradewell.oracle import TABLES, with_tables
 from gradewell.oracle.statements import STATEMENTS
-from gradewell.plans.warehouse import KPIS, LAYERS, Warehouse
+from gradewell.plans.warehouse import INTERNAL, KPIS, LAYERS, Warehouse
 
 GRADES = ["1,0", "1,3", "2,7", "4,0", "4,3", "5,0", "5", "10", "bestanden", "angemeldet", "0,0 mE", "1,3\r\n", None]
 REMARKS = [None] * 8 + ["krank", "mit Erfolg", "anerkannt", "abgemeldet", "unentschuldigt gefehlt", "kein Antrag"]
@@ -75,7 +75,7 @@ def case(spark, request, tmp_path_factory):
     return warehouse, db
 
 
-CHECKED = [n for n in (*LAYERS, *KPIS) if n != "student_profile"]
+CHECKED = [n for n in (*LAYERS, *KPIS) if n not in INTERNAL]
 
 
 @pytest.mark.parametrize("name", CHECKED)
