@@ -41,3 +41,20 @@ def shared_folder(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", folder)
         return folder
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings for an input size: shuffle partitions of a size a task can sort in memory.
+
+    Adaptive execution merges partitions that turn out small and splits those a
+    hot key makes large.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.codegen.cache.maxEntries": "2000",
+    }
