@@ -26,7 +26,8 @@ def student_years(fact: DataFrame, terms: DataFrame) -> DataFrame:
     """Activity, grades and thesis failure per student and calendar year.
 
     Summed before the student join, so that join sees at most one row per
-    student and year instead of every attempt.
+    student and year instead of every attempt.  The sums per term are
+    partitioned by student once, which the groupings and the join reuse.
     """
     per_term = fact.groupBy("student_id", "time_id").agg(
         F.max(F.coalesce(F.col("exam_status") != t.WITHDRAWN, F.lit(False))).alias("active"),
@@ -36,6 +37,7 @@ def student_years(fact: DataFrame, terms: DataFrame) -> DataFrame:
     )
     return (
         per_term.join(F.broadcast(terms.select("time_id", "year")), "time_id")
+        .repartition("student_id")
         .groupBy("student_id", "year")
         .agg(
             F.max("active").alias("active"),

@@ -39,8 +39,10 @@ def term_credits(fact: DataFrame) -> DataFrame:
 def term_progress(fact: DataFrame) -> DataFrame:
     """Credits, modules and mean grade per student and term.
 
-    Grouping by module first makes the distinct count a plain count and keeps
-    every step a combinable aggregate.
+    Grouping by module first makes the distinct count a plain count.  What is
+    left, at most ``MAX_TERMS`` rows per student and module, is partitioned by
+    student once; the second grouping, the windows of the study progress and the
+    student join all reuse that.
     """
     points = tenths(F.col("grade_numeric"))
     per_module = fact.groupBy("student_id", "term_counter", "module_id").agg(
@@ -48,7 +50,7 @@ def term_progress(fact: DataFrame) -> DataFrame:
         F.sum(points).alias("points"),
         F.count("grade_numeric").alias("graded"),
     )
-    return per_module.groupBy("student_id", "term_counter").agg(
+    return per_module.repartition("student_id").groupBy("student_id", "term_counter").agg(
         F.sum("credits").alias("credits_per_term"),
         F.count("module_id").alias("modules_per_term"),
         r(mean_grade(F.sum("points"), F.sum("graded")), 2).alias("avg_grade_per_term"),

@@ -9,6 +9,7 @@ KPI tables are plain DataFrames; ``store`` writes them.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -91,26 +92,29 @@ class Warehouse:
         self.folder = folder or f"{shared_folder(spark)}/gradewell-{uuid.uuid4().hex}"
         self.rows_per_task = rows_per_task
         self.tables: dict[str, DataFrame] = {}
+        self.lock = threading.RLock()
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def ref(self, name: str) -> DataFrame:
         """A table by name; raw tables and layers are stored on first use."""
-        if name not in self.tables:
-            if name in self.raw:
-                self.tables[name] = write_table(self.raw[name](), self.path(name))
-            elif name in LAYERS:
-                self.tables[name] = write_table(LAYERS[name](self), self.path(name))
-            else:
-                self.tables[name] = KPIS[name](self)
-        return self.tables[name]
+        with self.lock:
+            if name not in self.tables:
+                if name in self.raw:
+                    self.tables[name] = write_table(self.raw[name](), self.path(name))
+                elif name in LAYERS:
+                    self.tables[name] = write_table(LAYERS[name](self), self.path(name))
+                else:
+                    self.tables[name] = KPIS[name](self)
+            return self.tables[name]
 
     def store(self, name: str) -> DataFrame:
         """Write a KPI table as well, and serve it from there."""
-        if name in KPIS:
-            self.tables[name] = write_table(self.ref(name), self.path(name))
-        return self.ref(name)
+        with self.lock:
+            if name in KPIS:
+                self.tables[name] = write_table(KPIS[name](self), self.path(name))
+            return self.ref(name)
 
     def build_all(self) -> None:
         for name in MODELS:
@@ -134,19 +138,21 @@ def listing(spark: SparkSession, paths: list[str]) -> tuple:
 
 
 _open: dict[tuple, Warehouse] = {}
+_open_lock = threading.Lock()
 
 
 def fixture_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse over the derived exam data of ``folder``, one per session and input."""
     inputs = listing(spark, [f"{folder}/{n}.parquet" for n in fixtures.SOURCE_TABLES])
     key = (spark.sparkContext.applicationId, shared_folder(spark), inputs)
-    if key not in _open:
-        _open[key] = Warehouse(
-            spark,
-            {
-                "students": lambda: fixtures.students(spark, folder),
-                "module": lambda: fixtures.module(spark, folder),
-                "student_ml": lambda: fixtures.student_ml(spark, folder),
-            },
-        )
-    return _open[key]
+    with _open_lock:
+        if key not in _open:
+            _open[key] = Warehouse(
+                spark,
+                {
+                    "students": lambda: fixtures.students(spark, folder),
+                    "module": lambda: fixtures.module(spark, folder),
+                    "student_ml": lambda: fixtures.student_ml(spark, folder),
+                },
+            )
+        return _open[key]

@@ -14,11 +14,23 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_students(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Raw exam attempts with a unique ``attempt_id``."""
-    if fmt == "parquet":
-        return conform(spark.read.options(**options).parquet(path), t.STUDENTS)
-    return spark.read.format(fmt).options(**options).schema(t.STUDENTS).load(path)
+def with_attempt_id(students: DataFrame) -> DataFrame:
+    """Number raw records that have no id.
+
+    The numbers follow the partitions of this very scan; store the result (the
+    warehouse does) before anything else reads it.
+    """
+    if "attempt_id" in students.columns:
+        return students
+    return students.withColumn("attempt_id", F.monotonically_increasing_id())
+
+
+def read_students(spark: SparkSession, path: str, fmt: str = "parquet", has_id: bool = True, **options: str) -> DataFrame:
+    """Raw exam attempts with a unique ``attempt_id``, numbered here unless the files have one."""
+    schema = t.STUDENTS if has_id else T.StructType([f for f in t.STUDENTS.fields if f.name != "attempt_id"])
+    reader = spark.read.format(fmt).options(**options)
+    rows = reader.load(path) if fmt == "parquet" else reader.schema(schema).load(path)
+    return conform(with_attempt_id(rows), t.STUDENTS)
 
 
 def read_module_seed(spark: SparkSession, path: str, **options: str) -> DataFrame:

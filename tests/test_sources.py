@@ -34,6 +34,16 @@ def test_students_from_csv_and_json(small, spark, tmp_path):
     assert same(readers.read_students(spark, str(tmp_path / "csv"), "csv", header="true"), few)
 
 
+def test_records_without_id_are_numbered(small, spark, tmp_path):
+    students = small.ref("students").drop("attempt_id").limit(500)
+    students.write.parquet(str(tmp_path / "parquet"))
+    students.write.json(str(tmp_path / "json"))
+    for fmt in ("parquet", "json"):
+        rows = readers.read_students(spark, str(tmp_path / fmt), fmt, has_id=False)
+        assert rows.select("attempt_id").distinct().count() == 500
+        assert [f.name for f in rows.schema] == [f.name for f in t.STUDENTS]
+
+
 def test_field_names(small, spark):
     named = readers.with_field_name(small.ref("dim_students"), readers.fields_of_study(spark))
     assert {r.field_name for r in named.select("field_name").distinct().collect()} == {t.FIELDS_OF_STUDY[f] for f in (71, 72, 73)}
