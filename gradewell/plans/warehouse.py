@@ -120,6 +120,13 @@ class Warehouse:
         for name in MODELS:
             self.store(name)
 
+    def drop(self) -> None:
+        """Delete the stored tables; the next reference builds them again."""
+        with self.lock:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self.tables.clear()
+
     def views(self, prefix: str = "") -> None:
         """Register every model as a session view for SQL users."""
         for name in MODELS:
