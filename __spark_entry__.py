@@ -196,7 +196,7 @@ def _should_count_try(w: Warehouse) -> DataFrame:
 
 ENRICHMENT: dict[str, Query] = {
     "running_pass_count": _on(
-        lambda w: enrichment.running_pass_count(w.ref("stg_students_clean")).select(
+        lambda w: enrichment.running_pass_count(w.ref("stg_students_clean"), **_hot(w)).select(
             "attempt_id", "student_id", "module_number", "term_counter", "passed_so_far"
         )
     ),

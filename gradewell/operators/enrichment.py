@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gradewell import types as t
 from gradewell.functions import rules
 from gradewell.functions.numeric import flag
-from gradewell.operators.skew import ROWS_PER_TASK, hot_groups, join_split, running_total
+from gradewell.operators.skew import ROWS_PER_TASK, hot_groups, hot_keys, join_split, running_total
 
 CELL = ["student_id", "module_number", "term_counter"]
 NO_MATCH = 3
@@ -216,16 +216,23 @@ def core_module_sanity() -> Column:
     return F.col("graduation_flag") & ~F.col("module_number").isin(*t.PLACEHOLDERS) & F.col("never_passed")
 
 
+def hot_attempts(
+    clean: DataFrame, keys: list[str], hot_students: DataFrame | None, total: Column | None, rows_per_task: int
+) -> DataFrame:
+    """Hot groups of attempts; the hot students are counted here unless given with the row total."""
+    if hot_students is None:
+        counted = clean.groupBy("student_id").agg(F.count("*").alias("n_rows"))
+        total = counted.agg(F.sum("n_rows")).scalar()
+        hot_students = hot_keys(counted, ["student_id"], total, rows_per_task)
+    return hot_groups(clean, keys, hot_students, "student_id", total, rows_per_task)
+
+
 def attach_history(
     clean: DataFrame, students: DataFrame, hot_students: DataFrame | None = None, total: Column | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join every attempt with the history of its cell, hot cells spread over tasks."""
-    if hot_students is None:
-        counted = clean.groupBy("student_id").agg(F.count("*").alias("n_rows"))
-        total = counted.agg(F.sum("n_rows")).scalar()
-        hot_students = counted.filter(F.col("n_rows") > rows_per_task).select("student_id")
-    hot = hot_groups(clean, CELL, hot_students, "student_id", total, rows_per_task)
+    hot = hot_attempts(clean, CELL, hot_students, total, rows_per_task)
     rows = join_split(clean, cell_history(clean, students), CELL, hot, "attempt_id")
     return rows.withColumn("study_regulations_year", rules.regulations_year(F.col("year_of_matriculation")))
 
@@ -267,12 +274,15 @@ def stg_students_with_credits(
     )
 
 
-def running_pass_count(clean: DataFrame) -> DataFrame:
+def running_pass_count(
+    clean: DataFrame, hot_students: DataFrame | None = None, total: Column | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Passes of the student in the module up to and including each attempt."""
-    rows = clean.select("student_id", "module_number", "term_counter", "attempt_id", "exam_status")
-    return running_total(
-        rows, ["student_id", "module_number"], "term_counter", "attempt_id", flag(has_status(t.PASSED)), "passed_so_far"
-    )
+    rows = clean.select(*CELL, "attempt_id", "exam_status")
+    hot = hot_attempts(clean, CELL, hot_students, total, rows_per_task)
+    passes = flag(has_status(t.PASSED))
+    return running_total(rows, CELL[:2], CELL[2], "attempt_id", passes, "passed_so_far", hot)
 
 
 # --- documented alternative of the credit rule --------------------------------
@@ -288,17 +298,13 @@ def credits_awarded_conceptual(
     number alone prescribes; the credits go to the first of these copies.
     """
     group = ["student_id", "module_number"]
-    if hot_students is None:
-        counted = clean.groupBy("student_id").agg(F.count("*").alias("n_rows"))
-        total = counted.agg(F.sum("n_rows")).scalar()
-        hot_students = counted.filter(F.col("n_rows") > rows_per_task).select("student_id")
     eligible = has_status(t.PASSED) | F.coalesce(F.col("exam_annotation") == "anerkannt", F.lit(False))
     term = F.coalesce("year", F.lit(99)) * 10 + F.when(F.col("semester_type") == t.SUMMER, 1).when(
         F.col("semester_type") == t.WINTER, 2
     ).otherwise(9)
     rows = clean.withColumn("eligible", eligible).withColumn("chronological", F.struct(term.alias("term"), "attempt_id"))
     first = rows.groupBy(*group).agg(F.min(F.when(F.col("eligible"), F.col("chronological"))).alias("first_eligible"))
-    hot = hot_groups(clean, group, hot_students, "student_id", total, rows_per_task)
+    hot = hot_attempts(clean, group, hot_students, total, rows_per_task)
     rows = join_split(rows, first, group, hot, "attempt_id")
 
     in_module = Window.partitionBy("module_id").orderBy(

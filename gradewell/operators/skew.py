@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 65_536
 ROWS_PER_TASK = 500_000
-MAX_BLOCKS = 1 << 20
 
 
 def hot_keys(counted: DataFrame, keys: list[str], total: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -57,38 +56,45 @@ def join_split(
     return split_rows.join(split_lookup.hint("merge"), [*keys, "_split"], how).drop("_split")
 
 
-def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, value: Column, name: str) -> DataFrame:
+def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, value: Column, name: str, hot: DataFrame) -> DataFrame:
     """Running sum of ``value`` per ``keys`` in the order (``step``, ``row_id``).
 
-    ``step`` has a small domain and ``row_id`` is unique, so a group is summed in
-    three bounded windows: over the steps of a group, over the id blocks of a
-    step (at most ``MAX_BLOCKS``), and over the rows of a block.
+    ``step`` has a small domain and ``row_id`` is unique.  A group is summed in
+    bounded windows: over its few steps, and over the rows of one step.  Steps
+    listed in ``hot`` (keys, step and ``splits``) are cut into that many id
+    ranges, whose sums carry over; the splits of all hot keys together are
+    bounded, so these sums may be broadcast.
     """
     cell = [*keys, step]
     block = [*cell, "_block"]
+    zero = F.lit(0).cast("bigint")
+    before = Window.unboundedPreceding, -1
+
     span = rows.agg(F.min(row_id).alias("lo"), F.max(row_id).alias("hi"))
-    low = span.select("lo").scalar()
-    width = span.select(F.floor((F.col("hi") - F.col("lo")) / MAX_BLOCKS).cast("bigint") + 1).scalar()
-    rows = rows.withColumn("_value", value.cast("bigint")).withColumn(
-        "_block", F.floor((F.col(row_id) - low) / width).cast("bigint")
+    low, high = span.select("lo").scalar(), span.select("hi").scalar()
+    width = F.floor((high - low) / F.col("splits")) + 1
+    rows = (
+        rows.withColumn("_value", value.cast("bigint"))
+        .join(F.broadcast(hot), cell, "left")
+        .withColumn("_block", F.coalesce(F.floor((F.col(row_id) - low) / width), zero))
     )
 
-    before = Window.unboundedPreceding, -1
-    by_block = rows.groupBy(*block).agg(F.sum("_value").alias("_sum"))
-    by_cell = by_block.groupBy(*cell).agg(F.sum("_sum").alias("_sum"))
-    cell_start = by_cell.select(
-        *cell, F.sum("_sum").over(Window.partitionBy(*keys).orderBy(step).rowsBetween(*before)).alias("_cell_start")
+    cell_sums = rows.groupBy(*cell).agg(F.sum("_value").alias("_sum"))
+    steps = Window.partitionBy(*keys).orderBy(step).rowsBetween(*before)
+    cell_start = cell_sums.select(*cell, F.coalesce(F.sum("_sum").over(steps), zero).alias("_cell_start"))
+
+    block_sums = rows.filter(F.col("splits").isNotNull()).groupBy(*block).agg(F.sum("_value").alias("_sum"))
+    blocks = Window.partitionBy(*cell).orderBy("_block").rowsBetween(*before)
+    block_start = block_sums.select(*block, F.coalesce(F.sum("_sum").over(blocks), zero).alias("_block_start"))
+
+    start = cell_start.join(F.broadcast(block_start), cell, "left").select(
+        *cell,
+        F.coalesce("_block", zero).alias("_block"),
+        (F.col("_cell_start") + F.coalesce("_block_start", zero)).alias("_start"),
     )
-    block_start = by_block.select(
-        *block, F.sum("_sum").over(Window.partitionBy(*cell).orderBy("_block").rowsBetween(*before)).alias("_block_start")
-    ).join(cell_start, cell)
     within = Window.partitionBy(*block).orderBy(row_id).rowsBetween(Window.unboundedPreceding, 0)
-    zero = F.lit(0).cast("bigint")
     return (
-        rows.join(block_start.hint("merge"), block)
-        .withColumn(
-            name,
-            F.sum("_value").over(within) + F.coalesce("_cell_start", zero) + F.coalesce("_block_start", zero),
-        )
-        .drop("_value", "_block", "_cell_start", "_block_start")
+        rows.join(start.hint("merge"), block)
+        .withColumn(name, F.sum("_value").over(within) + F.col("_start"))
+        .drop("_value", "_block", "_start", "splits")
     )

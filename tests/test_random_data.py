@@ -92,5 +92,5 @@ def test_running_pass_count(case):
     expected = """SELECT attempt_id, CAST(sum(CASE WHEN exam_status = 'bestanden' THEN 1 ELSE 0 END)
         OVER (PARTITION BY student_id, module_number ORDER BY term_counter, attempt_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS passed_so_far
         FROM stg_students_clean"""
-    found = running_pass_count(warehouse.ref("stg_students_clean")).select("attempt_id", "passed_so_far")
+    found = running_pass_count(warehouse.ref("stg_students_clean"), rows_per_task=20).select("attempt_id", "passed_so_far")
     assert_same(found, db, with_tables(expected, ("raw_students", "raw_module")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -67,18 +68,19 @@ def test_hot_groups_lie_in_hot_parents(spark):
     assert {(r.k, r.step) for r in groups.collect()} == {(0, s) for s in range(5)}
 
 
-def test_running_total_equals_window(spark):
-    df = skewed(spark).withColumn("v", F.col("row_id") % 2)
-    found = running_total(df, ["k"], "step", "row_id", F.col("v"), "total").select("row_id", "total")
-    window = Window.partitionBy("k").orderBy("step", "row_id").rowsBetween(Window.unboundedPreceding, 0)
-    expected = df.select("row_id", F.sum("v").over(window).alias("total"))
-    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+def hot_steps(df, rows_per_task):
+    counts = df.groupBy("k", "step").agg(F.count("*").alias("n_rows"))
+    return hot_keys(counts, ["k", "step"], counts.agg(F.sum("n_rows")).scalar(), rows_per_task)
 
 
-def test_running_total_over_several_blocks(spark):
-    """Ids far apart fall into different blocks."""
-    df = skewed(spark, 300).withColumn("row_id", F.col("row_id") * 10_000_000_000)
-    found = running_total(df, ["k"], "step", "row_id", F.lit(1), "total").select("row_id", "total")
-    window = Window.partitionBy("k").orderBy("step", "row_id")
-    expected = df.select("row_id", F.row_number().over(window).cast("bigint").alias("total"))
+@pytest.mark.parametrize("rows_per_task", [10, 40, 100_000])
+@pytest.mark.parametrize("spread", [1, 10_000_000_000])
+def test_running_total_equals_window(spark, rows_per_task, spread):
+    """With every step, some steps and no step cut into id ranges."""
+    df = skewed(spark).select((F.col("row_id") * spread).alias("row_id"), "k", "step", (F.col("row_id") % 2).alias("v"))
+    hot_list = hot_steps(df, rows_per_task)
+    found = running_total(df, ["k"], "step", "row_id", F.col("v"), "total", hot_list).select("row_id", "total")
+    window = Window.partitionBy("k").orderBy("step", "row_id").rowsBetween(Window.unboundedPreceding, 0)
+    expected = df.select("row_id", F.sum("v").over(window).alias("total"))
+    assert found.count() == 4000
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
