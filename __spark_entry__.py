@@ -331,13 +331,36 @@ def _model(name: str) -> Query:
 MODELS: dict[str, Query] = {name: _model(name) for name in (*LAYERS, *KPIS) if name not in INTERNAL}
 
 
+# --- training text ---------------------------------------------------------------------------
+
+#: The subpackage and the pipeline may be taken out; nothing else depends on them.
+OPTIONAL = ("gradewell.llm", "corpus_pipeline")
+
+
+def _training_text() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and statements of the subpackage ``llm`` and of the pipeline, if they are there."""
+    try:
+        import corpus_pipeline
+        from gradewell.llm.queries import QUERIES
+        from gradewell.llm.statements import STATEMENTS
+    except ModuleNotFoundError as missing:
+        if missing.name is None or not missing.name.startswith(OPTIONAL):
+            raise
+        return {}, {}
+    statements = dict(STATEMENTS)
+    if corpus_pipeline.ORACLE_SQL is not None:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, statements
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator: (session, folder of the tables) to a DataFrame."""
     return {
         **MODELS, **SOURCES, **CLEANING, **DIMENSIONS, **ENRICHMENT, **PARTS, **DOCUMENTED, **QUALITY, **HABITS,
+        **_training_text()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The equivalent DuckDB statement of every query."""
-    return _oracle_sql()
+    return {**_oracle_sql(), **_training_text()[1]}

@@ -7,6 +7,10 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+#: Temporary folders of local sessions without a shared folder, by application.
+_fallback: dict[str, str] = {}
+
+
 def local_session(cores: int = 8, app: str = "gradewell", memory: str = "4g", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     builder = (
@@ -37,9 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="gradewell-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        application = spark.sparkContext.applicationId
+        if application not in _fallback:
+            _fallback[application] = tempfile.mkdtemp(prefix="gradewell-")
+        return _fallback[application]
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
