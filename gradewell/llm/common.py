@@ -11,8 +11,8 @@ from gradewell.session import shared_folder
 
 #: Words of the quality rules, the fingerprints and the mix: runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: The ASCII white space itself, for ``translate``.
-BLANKS = " \t\n\x0b\f\r"
+#: The ASCII white space itself.
+BLANK = r"[\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradewell.llm import mixing
+from gradewell.llm import mixing, quality_rules, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 SOURCE_WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3.0
 MIX_SEED = 20
+#: Listed URL prefixes and what is done with them.
+URL_RULES = (
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+)
+QUALITY_METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +32,21 @@ def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def filter_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule that decides on every page, and its verdict."""
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    judged = url_filter.judge(table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of every document and the verdict of the cascade."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality_rules.judge(docs, QUALITY_METRICS).select("doc_id", *QUALITY_METRICS, "base_failed", "kept")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": filter_urls,
     "op6_mix_sources": mix_sources,
+    "op9_quality_rules": judge_quality,
 }

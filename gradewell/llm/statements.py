@@ -50,6 +50,61 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
 FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source AND p.slice = b.slice
 """
 
+#: Repeated windows by grouping, the rules of the cascade in plain form.
+QUALITY_RULES = r"""
+WITH texts AS (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
+worded AS (SELECT u, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM texts),
+windows AS (
+    SELECT u, i, array_to_string(ws[i:i + 4], ' ') AS win
+    FROM (SELECT u, ws, unnest(range(1, len(ws) - 3)) AS i FROM worded)
+),
+twice AS (SELECT u, i FROM windows QUALIFY count(*) OVER (PARTITION BY u, win) > 1),
+covered AS (
+    SELECT u, sum(least(5, gap)) AS n
+    FROM (SELECT u, i - lag(i, 1, -5) OVER (PARTITION BY u ORDER BY i) AS gap FROM twice) GROUP BY u
+),
+lines AS (
+    SELECT u, len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup
+    FROM (SELECT u, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM worded)
+),
+measured AS (
+    SELECT doc_id, len(ws) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(n_dup AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, n_lines,
+           length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_upper
+    FROM worded JOIN lines USING (u) LEFT JOIN covered USING (u)
+),
+base AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 3 * n_lines OR 2 * n_upper > word_chars OR 2 * n_letters < word_chars) AS kept
+FROM base
+"""
+
+#: Every rule against every page.
+URL_FILTER = r"""
+WITH rules(verdict, host, path) AS (
+    VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+           ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+),
+cut AS (SELECT row_number() OVER () AS u, page_id, regexp_extract(url, '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+parts AS (
+    SELECT u, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+),
+best AS (
+    SELECT u, arg_max(r.host || r.path, (length(r.host || r.path), length(r.host))) AS rule,
+           arg_max(r.verdict, (length(r.host || r.path), length(r.host))) AS verdict
+    FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY u
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (u)
+"""
+
 STATEMENTS: dict[str, str] = {
+    "op1_url_filter": URL_FILTER,
     "op6_mix_sources": MIX_SOURCES,
+    "op9_quality_rules": QUALITY_RULES,
 }
