@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradewell.llm import mixing, quality_rules, url_filter
+from gradewell.llm import mixing, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,11 +21,20 @@ URL_RULES = (
 )
 QUALITY_METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
+VOCABULARY = "byte_bpe_50k.json"
+TOKEN_LIMIT = 512
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, special strings handled as the library does by default."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, VOCABULARY, TOKEN_LIMIT).drop("text")
+
+
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of every document."""
     plan = mixing.mix_plan(table(spark, folder, "documents"), SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
@@ -47,6 +56,7 @@ def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
+    "op2_token_counts": count_tokens,
     "op6_mix_sources": mix_sources,
     "op9_quality_rules": judge_quality,
 }
