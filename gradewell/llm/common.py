@@ -48,7 +48,9 @@ def unpacked(df: DataFrame, *names: str) -> DataFrame:
 
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = F.octet_length(text) == F.length(text)  # all ASCII: the faster function does the same
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, letters, letters.lower()))
 
 
 def let(value: Column, body) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gradewell.llm import mixing, quality_rules, token_counts, url_filter
+from gradewell.llm import line_dedup, mixing, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,9 @@ QUALITY_METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repea
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+#: A line goes when its key has so many characters and is found in so many documents.
+LINE_CHARS = 1
+LINE_DOCUMENTS = 10
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +39,15 @@ def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(docs, VOCABULARY, TOKEN_LIMIT).drop("text")
 
 
+def dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the lines that many documents share."""
+    path = f"{folder}/documents.parquet"
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    stripped = line_dedup.dedup_lines(docs, LINE_DOCUMENTS, LINE_CHARS, line_dedup.file_batches(spark, path))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return stripped.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
+
+
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of every document."""
     plan = mixing.mix_plan(table(spark, folder, "documents"), SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
@@ -57,6 +70,7 @@ def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
     "op2_token_counts": count_tokens,
+    "op5_line_dedup": dedup_lines,
     "op6_mix_sources": mix_sources,
     "op9_quality_rules": judge_quality,
 }

@@ -50,6 +50,25 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
 FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source AND p.slice = b.slice
 """
 
+LINE_DEDUP = r"""
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT u, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM d),
+k AS (
+    SELECT u, place, line,
+           translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM l
+),
+frequent AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT u) >= 10),
+kept AS (
+    SELECT u, string_agg(line, chr(10) ORDER BY place) AS text, count(*) AS n
+    FROM k WHERE NOT EXISTS (SELECT 1 FROM frequent f WHERE f.key = k.key) GROUP BY u
+)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (u)
+"""
+
 #: Repeated windows by grouping, the rules of the cascade in plain form.
 QUALITY_RULES = r"""
 WITH texts AS (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
@@ -105,6 +124,7 @@ FROM parts LEFT JOIN best USING (u)
 
 STATEMENTS: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
+    "op5_line_dedup": LINE_DEDUP,
     "op6_mix_sources": MIX_SOURCES,
     "op9_quality_rules": QUALITY_RULES,
 }
