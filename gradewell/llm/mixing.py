@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from gradewell.llm.common import WORD, field, packed, stored, unpacked
 
 #: Rows of one slice, sorted by one task.
-ROWS_PER_SLICE = 200_000
+ROWS_PER_SLICE = 10_000
 #: Seeded starts of the systematic sample that are tried; the one nearest to the target is kept.
 STARTS = 16
 

@@ -27,7 +27,7 @@ filled AS (
 ),
 plan AS (
     SELECT source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-           greatest(1, CAST(ceil(n_docs / 200000.0) AS BIGINT)) AS n_slices
+           greatest(1, CAST(ceil(n_docs / 10000.0) AS BIGINT)) AS n_slices
     FROM filled WHERE step = (SELECT max(step) FROM filled)
 ),
 placed AS (
