@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import line_dedup, mixing, quality_rules, token_counts, url_filter
+from gradewell.llm import decontamination, line_dedup, mixing, quality_rules, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +61,17 @@ def filter_urls(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a window of a benchmark item, and the items found."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.search(decontamination.build_index(docs), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_words", F.size("hit_words").cast("bigint").alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("hit_words") > 0).alias("contaminated"),
+    )
+
+
 def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of every document and the verdict of the cascade."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -72,5 +83,6 @@ QUERIES: dict[str, Query] = {
     "op2_token_counts": count_tokens,
     "op5_line_dedup": dedup_lines,
     "op6_mix_sources": mix_sources,
+    "op7_decontamination": decontaminate,
     "op9_quality_rules": judge_quality,
 }

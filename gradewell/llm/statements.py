@@ -69,6 +69,39 @@ SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (u)
 """
 
+DECONTAMINATION = r"""
+WITH folded AS (
+    SELECT row_number() OVER () AS u, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM documents
+),
+items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+    FROM benchmark
+),
+asked AS (
+    SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+    FROM (SELECT item, ws, least(10, len(ws)) AS size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+          FROM items WHERE len(ws) > 0)
+),
+there AS (
+    SELECT u, i, size, array_to_string(ws[i:i + size - 1], ' ') AS win
+    FROM (SELECT u, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM folded, (SELECT DISTINCT size FROM asked))
+),
+found AS (SELECT DISTINCT u, i, size, item FROM there JOIN asked USING (size, win)),
+hits AS (SELECT u, count(DISTINCT p) AS n FROM (SELECT u, unnest(range(i, i + size)) AS p FROM found) GROUP BY u),
+named AS (
+    SELECT u, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT u, item FROM found WHERE item IS NOT NULL) GROUP BY u
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM folded LEFT JOIN hits USING (u) LEFT JOIN named USING (u)
+"""
+
 #: Repeated windows by grouping, the rules of the cascade in plain form.
 QUALITY_RULES = r"""
 WITH texts AS (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS t FROM documents),
@@ -126,5 +159,6 @@ STATEMENTS: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
     "op5_line_dedup": LINE_DEDUP,
     "op6_mix_sources": MIX_SOURCES,
+    "op7_decontamination": DECONTAMINATION,
     "op9_quality_rules": QUALITY_RULES,
 }
