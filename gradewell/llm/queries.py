@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import decontamination, line_dedup, mixing, quality_rules, token_counts, url_filter
+from gradewell.llm import decontamination, line_dedup, mixing, quality_rules, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,12 @@ def count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(docs, VOCABULARY, TOKEN_LIMIT).drop("text")
 
 
+def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"), simhash.SHINGLE, simhash.DISTANCE)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the lines that many documents share."""
     path = f"{folder}/documents.parquet"
@@ -81,6 +87,7 @@ def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
     "op2_token_counts": count_tokens,
+    "op3_simhash": link_near_duplicates,
     "op5_line_dedup": dedup_lines,
     "op6_mix_sources": mix_sources,
     "op7_decontamination": decontaminate,
