@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import decontamination, line_dedup, mixing, quality_rules, simhash, token_counts, url_filter
+from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, quality_rules, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ TOKEN_LIMIT = 512
 #: A line goes when its key has so many characters and is found in so many documents.
 LINE_CHARS = 1
 LINE_DOCUMENTS = 10
+#: Rows whose CRC-32 of the key leaves this remainder are not learnt from; scores from THRESHOLD on are label 1.
+QUALITY_FOLDS, QUALITY_HELD_OUT = 5, 0
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+THRESHOLD = 0.3
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,6 +82,13 @@ def decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def classify_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document, from a model that has not seen the held-out fifth."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = nb_svm.judge(docs, table(spark, folder, "labels"), "quality", QUALITY_FOLDS, QUALITY_HELD_OUT, THRESHOLD)
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of every document and the verdict of the cascade."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -91,5 +102,6 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": dedup_lines,
     "op6_mix_sources": mix_sources,
     "op7_decontamination": decontaminate,
+    "op8_quality_classifier": classify_quality,
     "op9_quality_rules": judge_quality,
 }
