@@ -187,7 +187,6 @@ def judge(
     key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """The input columns, held_out (not learnt from), score and predicted, by a model trained on the labelled rows."""
-    scored = score(docs, train(docs, labels, label, folds, held_out, key, text, sample_rows), threshold, text)
-    marked = packed(scored).withColumn("held_out", fold(field(key), folds) == held_out)
-    result = unpacked(marked, "held_out")
-    return result.select(*(c for c in result.columns if c not in ("score", "predicted")), "score", "predicted")
+    marked = packed(docs).withColumn("held_out", fold(field(key), folds) == held_out)
+    model = train(docs, labels, label, folds, held_out, key, text, sample_rows)
+    return score(unpacked(marked, "held_out"), model, threshold, text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, quality_rules, simhash, token_counts, url_filter
+from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, quality_rules, simhash, token_counts, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +95,13 @@ def judge_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs, QUALITY_METRICS).select("doc_id", *QUALITY_METRICS, "base_failed", "kept")
 
 
+def score_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, from a model that has not seen the held-out quarter."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = toxicity.judge(docs, table(spark, folder, "labels"), "toxic", TOXIC_FOLDS, TOXIC_HELD_OUT, THRESHOLD)
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
     "op2_token_counts": count_tokens,
@@ -104,4 +111,5 @@ QUERIES: dict[str, Query] = {
     "op7_decontamination": decontaminate,
     "op8_quality_classifier": classify_quality,
     "op9_quality_rules": judge_quality,
+    "op10_toxicity": score_toxicity,
 }
