@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, quality_rules, simhash, token_counts, toxicity, url_filter
+from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, preferences, quality_rules, simhash, token_counts, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,20 @@ def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def format_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Prompt and completions of every conversation against the one with its neighbour's answer."""
+    pairs = preferences.mismatched_pairs(table(spark, folder, "conversations"))
+
+    def spans(mask: str) -> Column:
+        each = F.transform(mask, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(each, ",").alias(mask)
+
+    return preferences.format_pairs(pairs).select(
+        F.col("pair").alias("conv_id"), "prompt_turns", "prompt", "chosen", spans("chosen_mask"), "rejected",
+        spans("rejected_mask"),
+    )
+
+
 def dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the lines that many documents share."""
     path = f"{folder}/documents.parquet"
@@ -106,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
     "op2_token_counts": count_tokens,
     "op3_simhash": link_near_duplicates,
+    "op4_preference_format": format_preferences,
     "op5_line_dedup": dedup_lines,
     "op6_mix_sources": mix_sources,
     "op7_decontamination": decontaminate,

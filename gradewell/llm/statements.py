@@ -50,6 +50,44 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
 FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source AND p.slice = b.slice
 """
 
+PREFERENCE_FORMAT = r"""
+WITH t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, role, text
+    FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)
+),
+answers AS (SELECT conv_id, max(k) AS last, arg_max(text, k) AS text FROM t WHERE role = 'assistant' GROUP BY conv_id),
+pairs AS (SELECT a.conv_id, a.last, b.text FROM answers a JOIN answers b ON b.conv_id = xor(a.conv_id, 1)),
+sides AS (
+    SELECT 'c' AS side, t.conv_id, k, role, t.text FROM t JOIN pairs USING (conv_id)
+    UNION ALL
+    SELECT 'r', t.conv_id, k, role, CASE WHEN k = last THEN p.text ELSE t.text END FROM t JOIN pairs p USING (conv_id)
+),
+shared AS (
+    SELECT p.conv_id, coalesce(min(c.k) FILTER (c.text IS DISTINCT FROM r.text) - 1, max(c.k)) AS n
+    FROM pairs p JOIN sides c ON c.side = 'c' AND c.conv_id = p.conv_id
+    JOIN sides r ON r.side = 'r' AND r.conv_id = c.conv_id AND r.k = c.k GROUP BY p.conv_id
+),
+rendered AS (
+    SELECT side, s.conv_id, k, n, role, '<|' || coalesce(role, '') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' AS body
+    FROM sides s JOIN shared USING (conv_id)
+),
+placed AS (
+    SELECT *, coalesce(sum(CASE WHEN k > n THEN length(head || body) + 1 ELSE 0 END)
+                       OVER (PARTITION BY side, conv_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+    FROM rendered
+),
+joined AS (
+    SELECT side, conv_id, any_value(n) AS n,
+           coalesce(string_agg(head || body || chr(10), '' ORDER BY k) FILTER (k <= n), '') AS prompt,
+           coalesce(string_agg(head || body || chr(10), '' ORDER BY k) FILTER (k > n), '') AS rest,
+           coalesce(string_agg((pos + length(head)) || '-' || (pos + length(head || body)), ',' ORDER BY k)
+                    FILTER (k > n AND role = 'assistant'), '') AS mask
+    FROM placed GROUP BY side, conv_id
+)
+SELECT c.conv_id, c.n AS prompt_turns, c.prompt, c.rest AS chosen, c.mask AS chosen_mask, r.rest AS rejected, r.mask AS rejected_mask
+FROM joined c JOIN joined r ON c.side = 'c' AND r.side = 'r' AND c.conv_id = r.conv_id
+"""
+
 LINE_DEDUP = r"""
 WITH d AS (SELECT row_number() OVER () AS u, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT u, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM d),
@@ -157,6 +195,7 @@ FROM parts LEFT JOIN best USING (u)
 
 STATEMENTS: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
+    "op4_preference_format": PREFERENCE_FORMAT,
     "op5_line_dedup": LINE_DEDUP,
     "op6_mix_sources": MIX_SOURCES,
     "op7_decontamination": DECONTAMINATION,
