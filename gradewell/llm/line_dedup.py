@@ -152,8 +152,8 @@ def frequent_keys(batches: list[DataFrame], min_docs: int, min_chars: int = 1, t
     return stored(batches[0].sparkSession.table(runs.compact()).filter(F.col("n") >= min_docs), "frequent-lines")
 
 
-def drop_frequent(docs: DataFrame, frequent: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input columns, the text without lines of a frequent key, n_lines (before) and n_dropped.
+def _without_frequent(docs: DataFrame, frequent: DataFrame, key: str, text: str) -> DataFrame:
+    """The packed rows with _text, n_lines (before) and n_dropped.
 
     Lines meet the frequent keys as hashes; only the places to drop travel back to the documents, which they reach
     by the document's key and the hash of its text.
@@ -179,14 +179,25 @@ def drop_frequent(docs: DataFrame, frequent: DataFrame, key: str = "doc_id", tex
     split = met.withColumn("lines", lines_of(field(text)))
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     kept = F.array_join(F.transform(places, lambda p: F.get("lines", p)), "\n")
-    split = split.withColumns(
+    return split.withColumns(
         {
-            text: F.when(F.col("gone").isNull(), field(text)).otherwise(kept),
+            "_text": F.when(F.col("gone").isNull(), field(text)).otherwise(kept),
             "n_lines": F.size("lines").cast("bigint"),
             "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("bigint"),
         }
     )
-    return unpacked(split, text, "n_lines", "n_dropped")
+
+
+def drop_frequent(docs: DataFrame, frequent: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input columns, the text without lines of a frequent key, n_lines (before) and n_dropped."""
+    found = _without_frequent(docs, frequent, key, text).withColumnRenamed("_text", text)
+    return unpacked(found, text, "n_lines", "n_dropped")
+
+
+def strip(docs: DataFrame, frequent: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Exactly the input columns, the text without lines of a frequent key."""
+    found = _without_frequent(docs, frequent, key, text)
+    return found.select(*(F.col("_text").alias(c) if c == text else field(c).alias(c) for c in docs.columns))
 
 
 def dedup_lines(

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell.llm.common import field, packed, unpacked
@@ -168,8 +168,8 @@ def train(
     return Model(*pickle.loads(fit(rows, lambda given: _fit(given, scale, prior))))
 
 
-def score(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
-    """The input columns, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (score at least threshold)."""
+def _scores(docs: DataFrame, model: Model, text: str) -> Column:
+    """Score of the text in a packed row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -178,10 +178,20 @@ def score(docs: DataFrame, model: Model, threshold: float, text: str = "text") -
         for texts in batches:
             yield pd.Series(shared.value.score(np.array([shared.value.margin(features(t, codes)) for t in texts])))
 
-    scored = packed(docs).withColumn("score", scores(F.coalesce(field(text), F.lit(""))))
+    return scores(F.coalesce(field(text), F.lit("")))
+
+
+def score(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """The input columns, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (score at least threshold)."""
+    scored = packed(docs).withColumn("score", _scores(docs, model, text))
     return unpacked(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")), "score", "predicted")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
+    """The documents that score at least ``threshold``, with exactly their own columns."""
+    return packed(docs).filter(_scores(docs, model, text) >= threshold).select("row.*")
+
+
 def judge(
     docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, threshold: float,
     key: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS,
