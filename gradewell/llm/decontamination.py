@@ -7,7 +7,7 @@
   each shard a window whose terms do not all occur is dropped at once.  For the others the places of the rarest term,
   moved by its offset, are the candidate starts; the lists of the other terms, the next rarest first, are moved by
   their offsets and intersected with them.  ``slop`` 0 gives exact phrases; otherwise every term may stand up to
-  that many words from its place, which gives proximity matches.
+  that many words beside its place, which gives proximity matches.
 * **Test sets of any size** are taken in blocks of bounded size, each sent to every task; what the blocks find is
   merged per document.
 
@@ -155,7 +155,10 @@ def windows_of(items: list[tuple[str | None, str | None]], window: int = WINDOW)
 
 
 def matches(postings: np.ndarray, rows: np.ndarray, n_terms: int, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows found, and the places of all their words (one row for each occurrence)."""
+    """Windows found, and the places of all their words (one row for each occurrence).
+
+    An occurrence has a start from which every term stands at its offset, or up to ``slop`` words beside it.
+    """
     bounds = np.searchsorted(postings, np.arange(n_terms + 1) << TERM)
     lengths = np.diff(bounds)
     size = rows.shape[1]
@@ -165,15 +168,17 @@ def matches(postings: np.ndarray, rows: np.ndarray, n_terms: int, slop: int) ->
     window = np.repeat(np.arange(len(alive)), lengths[rarest])
     inside = np.arange(len(window)) - np.repeat(np.cumsum(lengths[rarest]) - lengths[rarest], lengths[rarest])
     place = postings[bounds[rarest][window] + inside] & (1 << TERM) - 1
-    start = place - order[window, 0]
+    shifts = np.arange(-slop, slop + 1)
+    window, place = np.repeat(window, len(shifts)), np.repeat(place, len(shifts))
+    start = place - order[window, 0] + np.tile(shifts, len(inside))
     found = np.zeros((len(window), size), np.int64)
     found[np.arange(len(window)), order[window, 0]] = place
     for k in range(1, size):
-        keep = start >= 0 if k == 1 else np.ones(len(start), bool)
         offset = order[window, k]
-        wanted = (rows[alive[window], offset] << TERM) + np.maximum(start + offset - slop, 0)
-        at = np.minimum(np.searchsorted(postings, wanted), len(postings) - 1)
-        keep &= (postings[at] >= wanted) & (postings[at] <= wanted + 2 * slop)
+        term = rows[alive[window], offset] << TERM
+        low, high = start + offset - slop, start + offset + slop
+        at = np.minimum(np.searchsorted(postings, term + np.maximum(low, 0)), len(postings) - 1)
+        keep = (high >= 0) & (postings[at] >= term + np.maximum(low, 0)) & (postings[at] <= term + np.maximum(high, 0))
         found[np.arange(len(window)), offset] = postings[at] & (1 << TERM) - 1
         window, start, found = window[keep], start[keep], found[keep]
     return alive[window], found

@@ -4,7 +4,7 @@ Built from DataFrame functions only.
 
 * **Water-filling.** Every source is given a share of all words by its weight.  A source may be repeated
   ``max_epochs`` times at most; what it cannot take is shared out again by weight, until no target is above its
-  cap.  Sorted by cap over weight the clamped sources come first, so the fixed point of that loop is the first
+  cap.  Sorted by cap over weight the clamped sources come first, so the fixed point of that loop is the largest
   level ``(rest of the words) / (rest of the weights)`` at or below the next source's own ratio, and running sums
   over the table of sources find it in one step.
 * **Repetitions.** A source with target/size = 2.4 takes every document twice and four tenths of them a third
@@ -62,7 +62,7 @@ def water_fill(sources: DataFrame, max_epochs: float) -> DataFrame:
         .withColumn("_gone", F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
         .withColumn("_level", (F.col("_words") - F.col("_used")) / (F.col("_weights") - F.col("_gone")))
     )
-    level = F.min(F.when(F.col("_level") <= F.col("_ratio"), F.struct("_ratio", "_level"))).over(everything)["_level"]
+    level = F.max(F.when(F.col("_level") <= F.col("_ratio"), F.col("_level"))).over(everything)
     return levels.withColumn("target", F.least("_cap", F.coalesce(F.col("weight") * level, F.col("_cap")))).drop(
         "_cap", "_ratio", "_words", "_weights", "_used", "_gone", "_level"
     )
