@@ -92,18 +92,27 @@ CLEAN_COLUMNS = (
 )
 
 
-def clean_rows(students: DataFrame, on_invalid: str = "raise") -> DataFrame:
-    """All row-local rules in one narrow pass (no shuffle).
-
-    ``on_invalid='raise'`` stops at a code outside its domain, ``'reject'``
-    leaves such rows out (fetch them with :func:`split_enum_rejects`).
-    """
+def unchecked_rows(students: DataFrame) -> DataFrame:
+    """All row-local rules in one narrow pass (no shuffle); codes are cleaned but not checked yet."""
     rows = map_module_number(filter_main_grades(students))
     rows = clean_remark(with_term(derive_exam_status(with_grades(rows))))
-    rows = drop_undated(
+    return drop_undated(
         rows.withColumnsRenamed({"studentID": "student_id", "Studienrichtung": "field_of_study"}).select(*CLEAN_COLUMNS)
     )
-    return cast_enums(rows) if on_invalid == "raise" else split_enum_rejects(rows)[0]
+
+
+def clean_rows(students: DataFrame, on_invalid: str = "raise") -> DataFrame:
+    """Cleaned rows with valid codes.
+
+    ``on_invalid='raise'`` stops at a code outside its domain; with ``'reject'`` such rows are missing here and are
+    the second half of :func:`split_rows`, so none is lost.
+    """
+    return cast_enums(unchecked_rows(students)) if on_invalid == "raise" else split_rows(students)[0]
+
+
+def split_rows(students: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cleaned rows with valid codes, and those with a code outside its domain."""
+    return split_enum_rejects(unchecked_rows(students))
 
 
 def student_profile(rows: DataFrame) -> DataFrame:

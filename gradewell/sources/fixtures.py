@@ -6,7 +6,7 @@ brands become modules.  The rules below are fixed values of the fixture.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradewell import types as t
@@ -22,6 +22,16 @@ def read_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Lines of an order that the id scheme has room for.
+MOST_LINES = 99
+
+
+def _line_number(number: Column) -> Column:
+    """The number itself; an order with more lines than ids stops the job."""
+    too_many = F.raise_error(F.lit(f"an order has more than {MOST_LINES} lines")).cast("int")
+    return F.when(number <= MOST_LINES, number).otherwise(too_many)
+
+
 def derive_students(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """Exam attempts.  The id scheme leaves room for 99 lines per order, which
     bounds the numbering window; lines and orders share one exchange."""
@@ -29,7 +39,7 @@ def derive_students(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
     lines = lineitem.select(
         "l_orderkey",
         "l_partkey",
-        (F.col("l_orderkey") * 100 + F.row_number().over(in_order)).alias("attempt_id"),
+        (F.col("l_orderkey") * 100 + _line_number(F.row_number().over(in_order))).alias("attempt_id"),
         F.col("l_quantity").cast("int").alias("qty"),
         F.floor(F.col("l_discount") * 100 + 0.5).cast("int").alias("disc"),
         F.floor(F.col("l_tax") * 100 + 0.5).cast("int").alias("tax"),

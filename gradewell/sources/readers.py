@@ -29,8 +29,7 @@ def read_students(spark: SparkSession, path: str, fmt: str = "parquet", has_id:
     """Raw exam attempts with a unique ``attempt_id``, numbered here unless the files have one."""
     schema = t.STUDENTS if has_id else T.StructType([f for f in t.STUDENTS.fields if f.name != "attempt_id"])
     reader = spark.read.format(fmt).options(**options)
-    rows = reader.load(path) if fmt == "parquet" else reader.schema(schema).load(path)
-    return conform(with_attempt_id(rows), t.STUDENTS)
+    return conform(with_attempt_id(reader.schema(schema).load(path)), t.STUDENTS)
 
 
 def read_module_seed(spark: SparkSession, path: str, **options: str) -> DataFrame:
@@ -39,7 +38,7 @@ def read_module_seed(spark: SparkSession, path: str, **options: str) -> DataFram
 
 
 def read_student_ml(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return conform(spark.read.format(fmt).options(**options).load(path), t.STUDENT_ML)
+    return conform(spark.read.format(fmt).options(**options).schema(t.STUDENT_ML).load(path), t.STUDENT_ML)
 
 
 def fields_of_study(spark: SparkSession) -> DataFrame:
@@ -48,9 +47,12 @@ def fields_of_study(spark: SparkSession) -> DataFrame:
 
 
 def with_field_name(df: DataFrame, fields: DataFrame, code: str = "field_of_study") -> DataFrame:
-    """Resolve the field code; unknown codes get a NULL name."""
+    """Resolve the field code; unknown codes get a NULL name.
+
+    ``fields`` may be any table of codes: its size is left to Spark's own check for broadcasts.
+    """
     names = fields.select(F.col("strID").alias(code), F.col("studienrichtung").alias("field_name"))
-    return df.join(F.broadcast(names), code, "left")
+    return df.join(names, code, "left")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str, lower: int, upper: int, partitions: int, **options: str) -> DataFrame:

@@ -1,16 +1,17 @@
-"""Readers, sinks, the file data source and the stream."""
+"""Readers, sinks and the stream."""
 
 from __future__ import annotations
 
-import sqlite3
 import uuid
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from gradewell import types as t
-from gradewell.operators.cleaning import clean_rows
-from gradewell.sources import readers, sinks, sqlite
-from gradewell.streaming.ingest import append_clean_rows
+from gradewell.operators.cleaning import clean_rows, split_rows, unchecked_rows
+from gradewell.sources import fixtures, readers, sinks
+from gradewell.streaming.ingest import append_rows, appended_rows
 
 
 def same(a, b) -> bool:
@@ -49,33 +50,6 @@ def test_field_names(small, spark):
     assert {r.field_name for r in named.select("field_name").distinct().collect()} == {t.FIELDS_OF_STUDY[f] for f in (71, 72, 73)}
 
 
-@pytest.fixture
-def database(tmp_path):
-    path = str(tmp_path / "exams.db")
-    with sqlite3.connect(path) as db:
-        db.execute('CREATE TABLE students ("studentID" INTEGER, "Modul" TEXT, "Note" TEXT, "Modulnummer" TEXT, "Jahr" INTEGER, "Semester" TEXT, "Vermerk" TEXT, "Studienrichtung" INTEGER)')
-        db.executemany(
-            "INSERT INTO students VALUES (?, ?, ?, ?, ?, ?, ?, ?)",
-            [(i % 7, "Mündliche Übung", None if i % 5 == 0 else "1,3\r\n", "I1", 18, "WiSe", None, 71) for i in range(1000)],
-        )
-        db.execute("CREATE TABLE studienrichtung (strID INTEGER, studienrichtung TEXT)")
-    return path
-
-
-def test_sqlite_file(spark, database):
-    df = sqlite.load_sqlite(spark, database, partitions=4)
-    assert df.rdd.getNumPartitions() == 4
-    rows = df.collect()
-    assert sorted(r.attempt_id for r in rows) == list(range(1, 1001))
-    assert sum(r.Note is None for r in rows) == 200
-    assert {r.Modul for r in rows} == {"Mündliche Übung"}
-    assert clean_rows(df).count() == 1000
-
-
-def test_empty_sqlite_table(spark, database):
-    assert sqlite.load_sqlite(spark, database, "studienrichtung", t.FIELD_LOOKUP, None).count() == 0
-
-
 def test_sinks_replace(small, spark, tmp_path):
     terms = small.ref("dim_zeit")
     path = str(tmp_path / "terms")
@@ -90,13 +64,27 @@ def test_sinks_replace(small, spark, tmp_path):
 
 
 def test_stream_cleans_each_file_once(small, spark, tmp_path):
+    """Accepted and rejected rows together are the input, in batch and as a stream."""
     arriving, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    students = small.ref("students")
+    odd = F.when(F.col("attempt_id") % 7 == 0, "Trimester").otherwise(F.col("Semester"))
+    students = small.ref("students").withColumn("Semester", odd)
     students.filter("attempt_id % 2 = 0").write.parquet(arriving)
-    append_clean_rows(spark, arriving, target, state).awaitTermination()
+    append_rows(spark, arriving, target, state).awaitTermination()
     students.filter("attempt_id % 2 = 1").write.mode("append").parquet(arriving)
-    append_clean_rows(spark, arriving, target, state).awaitTermination()
-    assert same(clean_rows(students), spark.read.parquet(target))
+    append_rows(spark, arriving, target, state).awaitTermination()
+    valid, rejected = split_rows(students)
+    assert same(valid, appended_rows(spark, target)) and same(rejected, appended_rows(spark, target, valid=False))
+    assert rejected.count() > 0 and valid.count() + rejected.count() == unchecked_rows(students).count()
+    with pytest.raises(PySparkException, match="outside its domain: Trimester"):
+        clean_rows(students).collect()
+
+
+def test_order_with_too_many_lines_is_refused(spark, small_folder):
+    tables = [fixtures.read_source(spark, small_folder, n) for n in ("lineitem", "orders", "part")]
+    first = tables[0].orderBy("l_orderkey").limit(1)
+    lines = first.crossJoin(spark.range(100)).withColumn("l_linenumber", F.col("id").cast("int")).drop("id")
+    with pytest.raises(PySparkException, match="more than 99 lines"):
+        fixtures.derive_students(lines, *tables[1:]).collect()
 
 
 def test_changed_input_is_noticed(spark, small_folder, tmp_path):
