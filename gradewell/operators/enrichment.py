@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gradewell import types as t
 from gradewell.functions import rules
 from gradewell.functions.numeric import flag
-from gradewell.operators.skew import ROWS_PER_TASK, hot_groups, hot_keys, join_split, running_total
+from gradewell.operators.skew import LOOKUP_ROWS, ROWS_PER_TASK, hot_groups, hot_keys, join_lookup, join_split, running_total
 
 CELL = ["student_id", "module_number", "term_counter"]
 NO_MATCH = 3
@@ -96,15 +96,19 @@ def curriculum_matches(modules: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flat(own, [*situation[1:], "field_of_study"], "own"), flat(foreign, situation[1:], "any")
 
 
-def best_module_match(rows: DataFrame, modules: DataFrame) -> DataFrame:
+def best_module_match(
+    rows: DataFrame, modules: DataFrame, lookup_rows: int = LOOKUP_ROWS, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Attach the closest curriculum row; every input row comes back once.
 
-    The match tables follow the curriculum, not the attempts, so their size
-    lets Spark broadcast them by its own size check.
+    The match tables follow the curriculum, not the attempts: as a rule Spark
+    broadcasts them by its own size check.  Beyond ``lookup_rows`` attempts of a
+    hot module are spread over several tasks.
     """
     own, foreign = curriculum_matches(modules)
     situation = ["module_number", "study_regulations_year", "semester_of_matriculation"]
-    joined = rows.join(foreign, situation, "left").join(own, [*situation, "field_of_study"], "left")
+    joined = join_lookup(rows, foreign, situation, "attempt_id", "left", lookup_rows, rows_per_task)
+    joined = join_lookup(joined, own, [*situation, "field_of_study"], "attempt_id", "left", lookup_rows, rows_per_task)
     listed = F.col("own_quality").isNotNull()
 
     def chosen(name: str) -> Column:
@@ -290,12 +294,13 @@ def running_pass_count(
 
 def credits_awarded_conceptual(
     clean: DataFrame, modules: DataFrame, hot_students: DataFrame | None = None, total: Column | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_TASK, lookup_rows: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Catalogue credits once per student and module, at the first passed or recognised attempt.
 
     Attempts meet every catalogue row of their module, as the join on the module
-    number alone prescribes; the credits go to the first of these copies.
+    number alone prescribes (the result has attempts times catalogue rows of their
+    module, about twelve rows an attempt); the credits go to the first of these copies.
     """
     group = ["student_id", "module_number"]
     eligible = has_status(t.PASSED) | F.coalesce(F.col("exam_annotation") == "anerkannt", F.lit(False))
@@ -314,7 +319,7 @@ def credits_awarded_conceptual(
         F.col("module_id").alias("module_number"), "module_title", "credits", F.row_number().over(in_module).alias("entry")
     )
     awarded = (F.col("chronological") == F.col("first_eligible")) & (F.coalesce("entry", F.lit(1)) == 1)
-    return rows.join(catalogue, "module_number", "left").select(
+    return join_lookup(rows, catalogue, ["module_number"], "attempt_id", "left", lookup_rows, rows_per_task).select(
         "student_id",
         "module_number",
         "module_title",

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 65_536
 ROWS_PER_TASK = 500_000
+#: Rows of a lookup up to which a join is left to Spark's own choice.
+LOOKUP_ROWS = 1_000_000
 
 
 def hot_keys(counted: DataFrame, keys: list[str], total: Column, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -56,36 +58,94 @@ def join_split(
     return split_rows.join(split_lookup.hint("merge"), [*keys, "_split"], how).drop("_split")
 
 
+def join_lookup(
+    rows: DataFrame, lookup: DataFrame, keys: list[str], spread_by: str, how: str = "left", lookup_rows: int = LOOKUP_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Equi-join with a lookup table that is small as a rule.
+
+    Up to ``lookup_rows`` rows the join is left to Spark, which broadcasts by its own size check.  A larger lookup is
+    sorted and merged, and keys that many rows share (counted here) are spread over several tasks.
+    """
+    if lookup.count() <= lookup_rows:
+        return rows.join(lookup, keys, how)
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    hot = hot_keys(counted.dropna(subset=keys), keys, counted.agg(F.sum("n_rows")).scalar(), rows_per_task)
+    return join_split(rows, lookup, keys, hot, spread_by, how)
+
+
+#: Quantiles that cut a hot group into blocks; a block beyond them is cut evenly by id.
+MAX_CUTS = 1024
+
+
+def id_blocks(rows: DataFrame, cell: list[str], row_id: str, hot: DataFrame) -> DataFrame:
+    """Id ranges of every hot cell, cut by the quantiles of its own ids: cell, first, lo, hi, width.
+
+    ``splits`` blocks each, of about as many rows.  Beyond ``MAX_CUTS`` a range stands for several blocks of ``width``
+    ids, the first of them numbered ``first``.  The number of ranges is bounded like the list of hot cells.
+    """
+    low, high = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
+    fractions = [k / MAX_CUTS for k in range(1, MAX_CUTS)]
+    own = (
+        rows.select(*cell, row_id)
+        .join(F.broadcast(hot), cell)
+        .groupBy(*cell)
+        .agg(
+            F.percentile_approx(row_id, fractions, 10 * MAX_CUTS).alias("q"),
+            F.max("splits").alias("splits"), F.min(row_id).alias("least"), F.max(row_id).alias("most"),
+        )
+    )
+    n = F.least(F.col("splits"), F.lit(MAX_CUTS))
+    step = F.transform(F.sequence(F.lit(1), n - 1), lambda k: F.get("q", F.floor(k * MAX_CUTS / n).cast("int") - 1))
+    cuts = F.array_distinct(F.when(n > 1, step).otherwise(F.array().cast("array<bigint>")))
+    parts = F.ceil(F.col("splits") / MAX_CUTS)
+    bounded = own.withColumn("cuts", cuts).withColumn("parts", parts)
+    ranges = F.transform(
+        F.sequence(F.lit(0), F.size("cuts")),
+        lambda k: F.struct(
+            (k * F.col("parts")).alias("first"),
+            F.coalesce(F.get("cuts", k - 1) + 1, low).alias("lo"),
+            F.coalesce(F.get("cuts", k), high).alias("hi"),
+            F.coalesce(F.get("cuts", k - 1) + 1, F.col("least")).alias("from_id"),
+            F.coalesce(F.get("cuts", k), F.col("most")).alias("to_id"),
+        ),
+    )
+    each = bounded.select(*cell, "parts", F.inline(ranges))
+    width = F.ceil((F.col("to_id") - F.col("from_id") + 1) / F.col("parts"))
+    return each.select(*cell, "first", "lo", "hi", "from_id", F.greatest(width, F.lit(1)).alias("width"))
+
+
 def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, value: Column, name: str, hot: DataFrame) -> DataFrame:
     """Running sum of ``value`` per ``keys`` in the order (``step``, ``row_id``).
 
-    ``step`` has a small domain and ``row_id`` is unique.  A group is summed in
+    ``step`` has a small domain and ``row_id`` is a unique bigint.  A group is summed in
     bounded windows: over its few steps, and over the rows of one step.  Steps
     listed in ``hot`` (keys, step and ``splits``) are cut into that many id
-    ranges, whose sums carry over; the splits of all hot keys together are
-    bounded, so these sums may be broadcast.
+    ranges of about as many rows each (:func:`id_blocks`), whose sums carry over; the splits of
+    all hot keys together are bounded, so ranges and sums may be broadcast.
     """
     cell = [*keys, step]
     block = [*cell, "_block"]
     zero = F.lit(0).cast("bigint")
     before = Window.unboundedPreceding, -1
 
-    span = rows.agg(F.min(row_id).alias("lo"), F.max(row_id).alias("hi"))
-    low, high = span.select("lo").scalar(), span.select("hi").scalar()
-    width = F.floor((high - low) / F.col("splits")) + 1
+    blocks = id_blocks(rows, cell, row_id, hot).select(*(F.col(c).alias(f"_b_{c}") for c in cell), "first", "lo", "hi", "from_id", "width")
+    own = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in cell]
     rows = (
         rows.withColumn("_value", value.cast("bigint"))
-        .join(F.broadcast(hot), cell, "left")
-        .withColumn("_block", F.coalesce(F.floor((F.col(row_id) - low) / width), zero))
+        .join(F.broadcast(blocks), [*own, F.col(row_id).between(F.col("lo"), F.col("hi"))], "left")
+        .withColumn("_hot", F.col("first").isNotNull())
+        .withColumn("_block", F.coalesce(F.col("first") + F.floor((F.col(row_id) - F.col("from_id")) / F.col("width")), zero))
+        .drop(*blocks.columns)
     )
 
     cell_sums = rows.groupBy(*cell).agg(F.sum("_value").alias("_sum"))
     steps = Window.partitionBy(*keys).orderBy(step).rowsBetween(*before)
     cell_start = cell_sums.select(*cell, F.coalesce(F.sum("_sum").over(steps), zero).alias("_cell_start"))
 
-    block_sums = rows.filter(F.col("splits").isNotNull()).groupBy(*block).agg(F.sum("_value").alias("_sum"))
-    blocks = Window.partitionBy(*cell).orderBy("_block").rowsBetween(*before)
-    block_start = block_sums.select(*block, F.coalesce(F.sum("_sum").over(blocks), zero).alias("_block_start"))
+    block_sums = rows.filter("_hot").groupBy(*block).agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*cell).orderBy("_block").rowsBetween(*before)
+    block_start = block_sums.select(*block, F.coalesce(F.sum("_sum").over(earlier), zero).alias("_block_start"))
 
     start = cell_start.join(F.broadcast(block_start), cell, "left").select(
         *cell,
@@ -96,5 +156,5 @@ def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, valu
     return (
         rows.join(start.hint("merge"), block)
         .withColumn(name, F.sum("_value").over(within) + F.col("_start"))
-        .drop("_value", "_block", "_start", "splits")
+        .drop("_value", "_block", "_start", "_hot")
     )

@@ -68,6 +68,23 @@ def test_hot_groups_lie_in_hot_parents(spark):
     assert {(r.k, r.step) for r in groups.collect()} == {(0, s) for s in range(5)}
 
 
+def test_blocks_follow_the_ids_of_their_own_step(spark):
+    """A hot step whose ids lie together, with other ids far off, is still cut into blocks of like size."""
+    from gradewell.operators.skew import id_blocks
+
+    hot_rows = spark.range(30_000).select((F.col("id") + 500).alias("row_id"), F.lit(1).alias("k"), F.lit(0).alias("step"))
+    rows = hot_rows.unionByName(spark.range(10).select((F.col("id") * 10**15).alias("row_id"), F.lit(1).alias("k"), F.lit(1).alias("step")))
+    for splits in (1, 30, 3000):
+        hot = spark.createDataFrame([(1, 0, splits)], "k int, step int, splits int")
+        found = id_blocks(rows, ["k", "step"], "row_id", hot).collect()
+        block = lambda i: next(r.first + (i - r.from_id) // r.width for r in found if r.lo <= i <= r.hi)  # noqa: E731,B023
+        sizes = {}
+        order = [block(i) for i in range(500, 30_500)]
+        for b in order:
+            sizes[b] = sizes.get(b, 0) + 1
+        assert order == sorted(order) and max(sizes.values()) <= 2 * -(-30_000 // splits)
+
+
 def hot_steps(df, rows_per_task):
     counts = df.groupBy("k", "step").agg(F.count("*").alias("n_rows"))
     return hot_keys(counts, ["k", "step"], counts.agg(F.sum("n_rows")).scalar(), rows_per_task)
