@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,10 +85,13 @@ class Warehouse:
 
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, Callable[[], DataFrame]], folder: str | None = None,
-        rows_per_task: int = ROWS_PER_TASK,
+        rows_per_task: int = ROWS_PER_TASK, scans: Collection[str] = (),
     ):
+        """``scans`` names raw tables that are served as they are read: files that already hold what their reader
+        returns, ids included, need no copy.  Others (numbered on reading, or derived) are stored first."""
         self.spark = spark
         self.raw = raw
+        self.scans = frozenset(scans)
         self.folder = folder or f"{shared_folder(spark)}/gradewell-{uuid.uuid4().hex}"
         self.rows_per_task = rows_per_task
         self.tables: dict[str, DataFrame] = {}
@@ -101,14 +104,24 @@ class Warehouse:
         """A table by name; raw tables and layers are stored on first use."""
         with self.lock:
             if name not in self.tables:
-                if name in self.raw:
-                    self.tables[name] = write_table(self.raw[name](), self.path(name))
-                elif name in LAYERS:
-                    self.tables[name] = write_table(LAYERS[name](self), self.path(name))
+                if name in self.scans:
+                    self.tables[name] = self.raw[name]()
+                elif name in self.raw or name in LAYERS:
+                    self.tables[name] = self._stored(name) or self._write(name)
                 else:
                     self.tables[name] = KPIS[name](self)
             return self.tables[name]
 
+    def _write(self, name: str) -> DataFrame:
+        build = self.raw[name]() if name in self.raw else LAYERS[name](self)
+        return write_table(build, self.path(name))
+
+    def _stored(self, name: str) -> DataFrame | None:
+        """A table that an earlier session has written completely into this folder."""
+        done = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/_SUCCESS")
+        exists = done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+        return self.spark.read.parquet(self.path(name)) if exists else None
+
     def store(self, name: str) -> DataFrame:
         """Write a KPI table as well, and serve it from there."""
         with self.lock:
@@ -133,28 +146,36 @@ class Warehouse:
             self.ref(name).createOrReplaceTempView(prefix + name)
 
 
-def listing(spark: SparkSession, paths: list[str]) -> tuple:
-    """Path, length and time of the files behind ``paths``, to notice changed input."""
+def content_summary(spark: SparkSession, paths: list[str]) -> tuple:
+    """Bytes, number of files at any depth and time of each of ``paths``, to notice changed input.
+
+    One call into the JVM per table: files are never listed on the Python side, however many there are.
+    """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     found = []
     for path in paths:
         p = hadoop.Path(path)
-        files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
-        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+        system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        summary = system.getContentSummary(p)
+        found.append((path, summary.getLength(), summary.getFileCount(), system.getFileStatus(p).getModificationTime()))
     return tuple(found)
 
 
-_open: dict[tuple, Warehouse] = {}
+#: The open warehouse of every application and input folder, with the state of the input it was built from.
+_open: dict[tuple, tuple[tuple, Warehouse]] = {}
 _open_lock = threading.Lock()
 
 
 def fixture_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse over the derived exam data of ``folder``, one per session and input."""
-    inputs = listing(spark, [f"{folder}/{n}.parquet" for n in fixtures.SOURCE_TABLES])
-    key = (spark.sparkContext.applicationId, shared_folder(spark), inputs)
+    """The warehouse over the derived exam data of ``folder``, one per session and input; one of changed input goes."""
+    inputs = content_summary(spark, [f"{folder}/{n}.parquet" for n in fixtures.SOURCE_TABLES])
+    key = (spark.sparkContext.applicationId, shared_folder(spark), folder)
     with _open_lock:
-        if key not in _open:
-            _open[key] = Warehouse(
+        state, warehouse = _open.get(key, (None, None))
+        if state != inputs:
+            if warehouse is not None:
+                warehouse.drop()
+            warehouse = Warehouse(
                 spark,
                 {
                     "students": lambda: fixtures.students(spark, folder),
@@ -162,4 +183,5 @@ def fixture_warehouse(spark: SparkSession, folder: str) -> Warehouse:
                     "student_ml": lambda: fixtures.student_ml(spark, folder),
                 },
             )
-        return _open[key]
+            _open[key] = inputs, warehouse
+        return warehouse

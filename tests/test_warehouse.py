@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import tempfile
 from types import SimpleNamespace
 
 import pytest
@@ -50,6 +53,36 @@ def test_drop_deletes_and_rebuilds(warehouse):
     assert warehouse.ref("dim_zeit").count() == rows
 
 
+def test_a_new_session_reuses_complete_tables(spark, warehouse):
+    rows = warehouse.ref("dim_zeit").count()
+
+    def never():
+        raise AssertionError("read again")
+
+    again = Warehouse(spark, dict.fromkeys(("students", "module", "student_ml"), never), folder=warehouse.folder)
+    assert again.ref("dim_zeit").count() == rows
+    assert again.ref("students").count() == warehouse.ref("students").count()
+
+
+def test_scans_are_not_copied(spark, warehouse, tmp_path):
+    students = warehouse.ref("students")
+    other = Warehouse(spark, {"students": lambda: students}, folder=str(tmp_path / "w"), scans=("students",))
+    assert other.ref("students") is students and not os.path.exists(other.path("students"))
+
+
+def test_local_session_without_a_shared_folder():
+    """A plain local session, without any settings of its own, stores tables in a folder of its application."""
+    code = (
+        "from gradewell.session import local_session, shared_folder; from gradewell.sources.sinks import write_table; "
+        "s = local_session(1); a = shared_folder(s); assert a == shared_folder(s) and s.conf.get('spark.checkpoint.dir', None) is None; "
+        "assert write_table(s.range(3), a + '/t').count() == 3"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with tempfile.TemporaryDirectory() as empty:
+        env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"}
+        subprocess.run([sys.executable, "-c", code], check=True, cwd=root, env=env | {"SPARK_CONF_DIR": empty}, timeout=300)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
