@@ -7,7 +7,6 @@ or the event table of the given folder.
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -55,8 +54,8 @@ def _scan_students(w: Warehouse) -> DataFrame:
 
 def _seed_module(w: Warehouse) -> DataFrame:
     """The curriculum written as CSV and read with the seed reader."""
-    path = w.path(f"seed-{uuid.uuid4().hex}")
-    w.ref("module").write.csv(path, header=True, encoding="UTF-8")
+    path = w.path("seed")
+    w.ref("module").write.mode("overwrite").csv(path, header=True, encoding="UTF-8")
     return readers.read_module_seed(w.spark, path)
 
 
@@ -70,7 +69,7 @@ def _ref(w: Warehouse) -> DataFrame:
     counts = [
         w.ref(name).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("model"), "n_rows")
         for name in (*LAYERS, *KPIS)
-        if name not in (*INTERNAL, "module_mark_kpi", "module_status_kpi", "student_kpi_ml")
+        if name not in INTERNAL
     ]
     result = counts[0]
     for count in counts[1:]:
@@ -79,17 +78,17 @@ def _ref(w: Warehouse) -> DataFrame:
 
 
 def _write_table(w: Warehouse) -> DataFrame:
-    return sinks.write_table(w.ref("active_students_kpi"), w.path(f"copy-{uuid.uuid4().hex}"))
+    return sinks.write_table(w.ref("active_students_kpi"), w.path("copy"))
 
 
 def _create_view(w: Warehouse) -> DataFrame:
-    name = f"fact_view_{uuid.uuid4().hex}"
+    name = "gradewell_fact_view"
     sinks.create_view(w.ref("fact_kpi"), name)
     return w.spark.sql(f"SELECT exam_status, count(*) AS n_rows FROM {name} GROUP BY exam_status")
 
 
 def _create_or_replace_table(w: Warehouse) -> DataFrame:
-    name = f"progress_{uuid.uuid4().hex}"
+    name = "gradewell_progress"
     return sinks.create_or_replace_table(w.ref("study_progress_kpi"), name, w.path(name))
 
 
@@ -142,7 +141,7 @@ CLEANING: dict[str, Query] = {
     "primary_field": _on(lambda w: _profile(w, "primary_field_of_study", F.col("primary_field_of_study"))),
     "normalise_field": _columns("stg_students_clean", "attempt_id", "field_of_study"),
     "cast_enums": _on(
-        lambda w: cleaning.cast_enums(cleaning.clean_rows(w.ref("students"), on_invalid="reject")).select(
+        lambda w: cleaning.cast_enums(cleaning.unchecked_rows(w.ref("students"))).select(
             "attempt_id", "exam_status", "semester_type", "exam_annotation"
         )
     ),
@@ -285,8 +284,8 @@ DOCUMENTED: dict[str, Query] = {
         )
     ),
     "dedupe_raw": _on(lambda w: checks.dedupe_raw(w.ref("students"))),
-    "invalid_combo_report": _on(lambda w: checks.invalid_combo_report(w.ref("stg_students_with_credits"))),
-    "anomaly_counts": _on(lambda w: checks.anomaly_counts(w.ref("students"), w.ref("stg_students_with_credits"))),
+    "invalid_combo_report": _on(lambda w: checks.invalid_combo_report(w.ref("stg_students_with_credits"), w.ref("dim_modul"))),
+    "anomaly_counts": _on(lambda w: checks.anomaly_counts(w.ref("students"), w.ref("stg_students_with_credits"), w.ref("dim_modul"))),
     "profile_distinct": _on(lambda w: checks.profile_distinct(w.ref("students"))),
 }
 
@@ -337,7 +336,7 @@ MODELS: dict[str, Query] = {name: _model(name) for name in (*LAYERS, *KPIS) if n
 OPTIONAL = ("gradewell.llm", "corpus_pipeline")
 
 
-def _training_text() -> tuple[dict[str, Query], dict[str, str]]:
+def training_text() -> tuple[dict[str, Query], dict[str, str]]:
     """Queries and statements of the subpackage ``llm`` and of the pipeline, if they are there."""
     try:
         import corpus_pipeline
@@ -357,10 +356,10 @@ def queries() -> dict[str, Query]:
     """One entry per operator: (session, folder of the tables) to a DataFrame."""
     return {
         **MODELS, **SOURCES, **CLEANING, **DIMENSIONS, **ENRICHMENT, **PARTS, **DOCUMENTED, **QUALITY, **HABITS,
-        **_training_text()[0],
+        **training_text()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The equivalent DuckDB statement of every query."""
-    return {**_oracle_sql(), **_training_text()[1]}
+    return {**_oracle_sql(), **training_text()[1]}

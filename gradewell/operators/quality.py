@@ -1,7 +1,7 @@
 """Declarative data checks.
 
 A single check returns what violates it.  :func:`report` runs a list of checks
-with one pass per table for everything that can be decided row by row.
+with one pass per table.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -68,32 +68,66 @@ class Checks:
         return found
 
 
-def _row_checks(model: str, df: DataFrame, checks: Checks) -> DataFrame:
-    """One aggregate over the table, turned into one row per check."""
-    conditions = checks.row_conditions()
-    counts = df.agg(*[F.count_if(condition).alias(f"c{i}") for i, (_, _, condition) in enumerate(conditions)])
-    rows = [
-        F.struct(F.lit(column).alias("column_name"), F.lit(check).alias("check_name"), F.col(f"c{i}").alias("violations"))
-        for i, (column, check, _) in enumerate(conditions)
-    ]
-    return counts.select(F.lit(model).alias("model"), F.inline(F.array(*rows)))
+def _model_report(spark: SparkSession, model: str, df: DataFrame, checks: Checks, table: Callable[[str], DataFrame]) -> DataFrame:
+    """All checks of one table from one pass over it.
 
-
-def _counted(model: str, column: str, check: str, violations: Column, found: DataFrame) -> DataFrame:
-    return found.agg(F.coalesce(violations, F.lit(0).cast("bigint")).alias("violations")).select(
-        F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(check).alias("check_name"), "violations"
+    A row gives one record per violated row check, and one per key that has to be unique or to have a parent.  Records
+    are counted on the map side, so a frequent key is one record per task; parents meet these counts, not the rows.
+    """
+    declared: list[tuple[str, str]] = []
+    records: list[Column] = []
+
+    def ask(column: str, check: str, condition: Column, key: Column) -> int:
+        number = len(declared)
+        declared.append((column, check))
+        records.append(F.when(condition, F.struct(F.lit(number).alias("number"), key.cast("string").alias("key"))))
+        return number
+
+    none = F.lit(None).cast("string")
+    for column, check, violated in checks.row_conditions():
+        ask(column, check, violated, none)
+    unique = [ask(c, "unique", F.col(c).isNotNull(), F.col(c)) for c in checks.unique]
+    parents = {ask(c, "relationships", F.col(c).isNotNull(), F.col(c)): p for c, p in checks.parents.items()}
+
+    names = spark.createDataFrame(
+        [(model, c, check, k) for k, (c, check) in enumerate(declared)],
+        "model string, column_name string, check_name string, number int",
+    )
+    counted = df.select(F.inline(F.array_compact(F.array(*records)))).groupBy("number", "key").agg(F.count("*").alias("n"))
+    known = F.lit(False)
+    if parents:
+        keys = reduce(
+            DataFrame.unionByName,
+            (table(p).select(F.lit(k).alias("number"), F.col(key).cast("string").alias("key")) for k, (p, key) in parents.items()),
+        ).distinct()
+        counted = counted.join(keys.withColumn("known", F.lit(True)), ["number", "key"], "left")
+        known = F.coalesce("known", F.lit(False))
+    number = F.col("number")
+    violating = (
+        F.when(number.isin(*unique), (F.col("n") > 1).cast("bigint"))
+        .when(number.isin(*parents), F.when(known, 0).otherwise(F.col("n")))
+        .otherwise(F.col("n"))
+    )
+    found = counted.groupBy("number").agg(F.sum(violating).alias("violations"))
+    violations = F.coalesce("violations", F.lit(0).cast("bigint"))
+    return F.broadcast(names).join(found, "number", "left").select(
+        "model", "column_name", "check_name", violations.alias("violations"),
+        F.when(violations == 0, "pass").otherwise("fail").alias("status"),
     )
 
 
 def report(table: Callable[[str], DataFrame], declared: dict[str, Checks]) -> DataFrame:
-    """Violations per declared check: rows, or keys for the uniqueness check."""
+    """Violations per declared check (rows, or keys for the uniqueness check) and whether it passed."""
     parts = []
     for model, checks in declared.items():
         df = table(model)
-        parts.append(_row_checks(model, df, checks))
-        for column in checks.unique:
-            parts.append(_counted(model, column, "unique", F.count("*"), dq_unique(df, column)))
-        for column, (parent, key) in checks.parents.items():
-            orphans = dq_relationships(df, column, table(parent), key)
-            parts.append(_counted(model, column, "relationships", F.sum("n_rows"), orphans))
+        parts.append(_model_report(df.sparkSession, model, df, checks, table))
     return reduce(DataFrame.unionByName, parts)
+
+
+def summary(found: DataFrame) -> DataFrame:
+    """Totals of a report: checks, passed and failed."""
+    return found.agg(
+        F.count("*").alias("checks"), F.count_if(F.col("status") == "pass").alias("passed"),
+        F.count_if(F.col("status") == "fail").alias("failed"),
+    )

@@ -2,33 +2,34 @@
 
 from __future__ import annotations
 
-from gradewell.plans.checks import DECLARED
-from gradewell.operators.quality import Checks
+from gradewell.oracle.declared import CHECKS
 
 
 def _values(values: tuple) -> str:
     return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def _report(declared: dict[str, Checks]) -> str:
-    """Violations of every declared check, one SELECT each."""
-    parts = []
+def _violations(model: str, column: str, check: str, argument) -> str:
+    if check == "not_null":
+        return f"SELECT count(*) - count({column}) FROM {model}"
+    if check == "unique":
+        return f"SELECT count(*) FROM (SELECT {column} FROM {model} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"
+    if check == "accepted_values":
+        return f"SELECT count(*) FROM {model} WHERE {column} NOT IN ({_values(argument)})"
+    if check == "between":
+        return f"SELECT count(*) FROM {model} WHERE {column} < {argument[0]} OR {column} > {argument[1]}"
+    parent, key = argument
+    return f"SELECT count(*) FROM {model} WHERE {column} NOT IN (SELECT {key} FROM {parent})"
 
-    def add(model: str, column: str, check: str, violations: str) -> None:
-        parts.append(f"SELECT '{model}' AS model, '{column}' AS column_name, '{check}' AS check_name, ({violations}) AS violations")
 
-    for model, checks in declared.items():
-        for c in checks.not_null:
-            add(model, c, "not_null", f"SELECT count(*) - count({c}) FROM {model}")
-        for c in checks.unique:
-            add(model, c, "unique", f"SELECT count(*) FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
-        for c, v in checks.accepted.items():
-            add(model, c, "accepted_values", f"SELECT count(*) FROM {model} WHERE {c} NOT IN ({_values(v)})")
-        for c, (low, high) in checks.between.items():
-            add(model, c, "between", f"SELECT count(*) FROM {model} WHERE {c} < {low} OR {c} > {high}")
-        for c, (parent, key) in checks.parents.items():
-            add(model, c, "relationships", f"SELECT count(*) FROM {model} WHERE {c} NOT IN (SELECT {key} FROM {parent})")
-    return "\nUNION ALL ".join(parts)
+def _report(declared: dict[str, tuple]) -> str:
+    """Violations of every declared check, one SELECT each."""
+    parts = [
+        f"SELECT '{model}' AS model, '{column}' AS column_name, '{check}' AS check_name, ({_violations(model, column, check, argument)}) AS violations"
+        for model, checks in declared.items()
+        for column, check, argument in checks
+    ]
+    return "SELECT *, CASE violations WHEN 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + "\nUNION ALL ".join(parts) + ")"
 
 
 def _findings(source: str, conditions: dict[str, str]) -> str:
@@ -69,7 +70,10 @@ STATEMENTS |= {
     "scan_student_ml": "SELECT * FROM raw_student_ml",
     "lookup_field": """SELECT student_id, field_of_study, CASE field_of_study WHEN 71 THEN 'Informations- und Kommunikationstechnologien'
         WHEN 72 THEN 'Wirtschaftsinformatik' WHEN 73 THEN 'Medieninformatik' WHEN 74 THEN 'Data Science' END AS field_name FROM dim_students""",
-    "ref": "\nUNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS n_rows FROM {n}" for n in (*LAYER_NAMES, *KPI_NAMES)),
+    "ref": "\nUNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS n_rows FROM {n}" for n in (*LAYER_NAMES, *KPI_NAMES))
+    + "\nUNION ALL SELECT 'module_mark_kpi', count(grade_numeric) FROM fact_kpi"
+    + "\nUNION ALL SELECT 'module_status_kpi', count(*) FROM fact_kpi"
+    + "\nUNION ALL SELECT 'student_kpi_ml', count(*) FROM student_kpi k LEFT JOIN raw_student_ml ml ON ml.student_id = k.student_id",
     "write_table": "SELECT * FROM active_students_kpi",
     "create_view": "SELECT exam_status, count(*) AS n_rows FROM fact_kpi GROUP BY exam_status",
     "create_or_replace_table": "SELECT * FROM study_progress_kpi",
@@ -163,9 +167,10 @@ STATEMENTS |= {
         CAST(sum(passed_flag) AS BIGINT) AS bestandene_module, count(DISTINCT f.module_id) AS gesamtmodule, round(avg(CAST(graduation_flag AS INT)) * 100, 2) AS abschlussquote
         FROM fact_kpi f JOIN dim_students s ON s.student_id = f.student_id JOIN dim_modul m ON m.module_id = f.module_id GROUP BY s.field_of_study""",
     "risk_flag": """SELECT student_id, CASE
-        WHEN failed_attempts_count > 1 OR weighted_avg_grade >= 3.5 OR credits_total_count < terms_taken_total_count * 30 - 60 OR fail_rate > 40 THEN 'RED'
+        WHEN failed_attempts_count >= 2 OR weighted_avg_grade >= 3.5 OR credits_total_count < terms_taken_total_count * 30 - 60 OR fail_rate > 40 THEN 'RED'
         WHEN fail_rate > 20 OR weighted_avg_grade >= 3 OR credits_total_count < terms_taken_total_count * 30 - 30 OR inactivity_flag THEN 'ORANGE'
-        ELSE 'GREEN' END AS risk_flag FROM student_kpi JOIN dim_students USING (student_id)""",
+        ELSE 'GREEN' END AS risk_flag FROM student_kpi JOIN (SELECT student_id, max(terms_taken_total_count) AS terms_taken_total_count,
+          bool_or(inactivity_flag) AS inactivity_flag FROM dim_students GROUP BY student_id) USING (student_id)""",
     "early_warning_metrics": """SELECT k.student_id, 30 * f.terms_taken_total_count - k.credits_total_count AS ects_backlog, k.modules_failed_count AS repeated_modules,
         p.grade_change AS grade_trend, (SELECT current_semester_index FROM latest_term) - t.last_term AS inactive_terms
       FROM student_kpi k JOIN student_facts f USING (student_id) JOIN (SELECT student_id, max(term) AS last_term FROM dated GROUP BY student_id) t USING (student_id)
@@ -180,8 +185,13 @@ STATEMENTS |= {
             "withdrawn_with_grade": "exam_status = 'abgemeldet' AND grade IS NOT NULL",
             "no_status": "exam_status IS NULL",
             "no_status_with_grade": "exam_status IS NULL AND grade IS NOT NULL",
+            "passed_without_credits": "exam_status = 'bestanden' AND module_key IN (SELECT module_key FROM dim_modul WHERE credits IS NULL)",
+            "unusually_long_study": "term_counter > 8",
         },
-    ),
+    )
+    + """
+UNION ALL SELECT 'unrealistic_credit_sum', count(*) FROM (SELECT 1 FROM stg_students_with_credits GROUP BY student_id, year, semester_type HAVING sum(credits_earned) > 60)
+UNION ALL SELECT 'module_with_differing_credits', count(*) FROM (SELECT 1 FROM dim_modul GROUP BY module_id HAVING count(DISTINCT credits) > 1)""",
     "anomaly_counts": _findings(
         "raw_students",
         {
@@ -192,7 +202,10 @@ STATEMENTS |= {
             "semester_respelled": "lower(\"Semester\") IN ('wise', 'sose') AND \"Semester\" NOT IN ('WiSe', 'SoSe')",
             "semester_unknown": "lower(\"Semester\") NOT IN ('wise', 'sose')",
         },
-    ) + "\nUNION ALL " + _findings("stg_students_with_credits", {"catalogue_entry_missing": "module_key IS NULL"}),
+    ) + "\nUNION ALL " + _findings(
+        "stg_students_with_credits",
+        {"catalogue_entry_missing": "module_key IS NULL", "catalogue_credits_missing": "module_key IN (SELECT module_key FROM dim_modul WHERE credits IS NULL)"},
+    ),
     "profile_distinct": "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(\"{c}\" AS VARCHAR) AS value, count(*) AS n_rows FROM raw_students GROUP BY \"{c}\"" for c in PROFILED
     ),
@@ -203,7 +216,7 @@ STATEMENTS |= {
     "dq_relationships": "SELECT module_number, count(*) AS n_rows FROM stg_students_clean WHERE module_number NOT IN (SELECT module_id FROM dim_modul) GROUP BY module_number",
     "dq_between": "SELECT attempt_id, tries_count FROM stg_students_with_credits WHERE tries_count < 1 OR tries_count > 20",
     "dq_single_credit_award": "SELECT student_id, module_number, count(*) AS awards FROM stg_students_with_credits WHERE credits_earned > 0 GROUP BY ALL HAVING count(*) > 1",
-    "dq_report": _report(DECLARED),
+    "dq_report": _report(CHECKS),
     # habits
     "completed_days": "SELECT * FROM habit_days",
     "streaks": "SELECT * FROM habit_streaks",

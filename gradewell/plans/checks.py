@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell import types as t
@@ -115,8 +115,33 @@ def _named_counts(df: DataFrame, conditions: dict) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def invalid_combo_report(enriched: DataFrame) -> DataFrame:
-    """Combinations that should not occur (our choice of combinations)."""
+# --- fixed values: limits of the report (our choice) -------------------------
+LONG_STUDY_TERMS = 8
+MOST_CREDITS_PER_TERM = 60
+# --- end of fixed values -------------------------------------------------------
+
+
+def invalid_combo_report(enriched: DataFrame, modules: DataFrame) -> DataFrame:
+    """Combinations that should not occur: rows, terms of a student with too many credits, and catalogue modules."""
+    per_term = enriched.groupBy("student_id", "year", "semester_type").agg(F.sum("credits_earned").alias("sum"))
+    per_module = modules.groupBy("module_id").agg(F.countDistinct("credits").alias("n"))
+    return (
+        _row_combinations(enriched)
+        .unionByName(_without_credits(enriched, modules, "passed_without_credits", F.col("exam_status") == t.PASSED))
+        .unionByName(_named_counts(per_term, {"unrealistic_credit_sum": F.col("sum") > MOST_CREDITS_PER_TERM}))
+        .unionByName(_named_counts(per_module, {"module_with_differing_credits": F.col("n") > 1}))
+    )
+
+
+def _without_credits(enriched: DataFrame, modules: DataFrame, finding: str, condition: Column) -> DataFrame:
+    """Number of matched rows whose catalogue entry has no credits; rows are counted per entry before the join."""
+    lacking = modules.filter(F.col("credits").isNull()).select("module_key").distinct()
+    counted = enriched.groupBy("module_key").agg(F.count_if(condition).alias("n"))
+    found = counted.join(lacking, "module_key", "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias("n_rows"))
+    return found.select(F.lit(finding).alias("finding"), "n_rows")
+
+
+def _row_combinations(enriched: DataFrame) -> DataFrame:
     passed, failed, withdrawn = (F.col("exam_status") == s for s in (t.PASSED, t.FAILED, t.WITHDRAWN))
     grade = F.col("grade")
     return _named_counts(
@@ -128,11 +153,12 @@ def invalid_combo_report(enriched: DataFrame) -> DataFrame:
             "withdrawn_with_grade": withdrawn & grade.isNotNull(),
             "no_status": F.col("exam_status").isNull(),
             "no_status_with_grade": F.col("exam_status").isNull() & grade.isNotNull(),
+            "unusually_long_study": F.col("term_counter") > LONG_STUDY_TERMS,
         },
     )
 
 
-def anomaly_counts(students: DataFrame, enriched: DataFrame) -> DataFrame:
+def anomaly_counts(students: DataFrame, enriched: DataFrame, modules: DataFrame) -> DataFrame:
     """Missing catalogue credits and odd year or semester values."""
     odd_terms = _named_counts(
         students,
@@ -145,7 +171,9 @@ def anomaly_counts(students: DataFrame, enriched: DataFrame) -> DataFrame:
             "semester_unknown": ~rules.semester(F.col("Semester")).isin(*t.SEMESTERS),
         },
     )
-    return odd_terms.unionByName(_named_counts(enriched, {"catalogue_entry_missing": F.col("module_key").isNull()}))
+    return odd_terms.unionByName(_named_counts(enriched, {"catalogue_entry_missing": F.col("module_key").isNull()})).unionByName(
+        _without_credits(enriched, modules, "catalogue_credits_missing", F.lit(True))
+    )
 
 
 def profile_distinct(students: DataFrame) -> DataFrame:

@@ -30,10 +30,11 @@ def credit_backlog() -> Column:
 
 
 def risk_flag(student_kpi: DataFrame, students: DataFrame) -> DataFrame:
-    """RED, ORANGE or GREEN per student."""
-    rows = student_kpi.join(
-        students.select("student_id", "terms_taken_total_count", "inactivity_flag"), "student_id"
+    """RED, ORANGE or GREEN per student; the dimension has several rows for a student of several fields."""
+    per_student = students.groupBy("student_id").agg(
+        F.max("terms_taken_total_count").alias("terms_taken_total_count"), F.bool_or("inactivity_flag").alias("inactivity_flag")
     )
+    rows = student_kpi.join(per_student, "student_id")
     grade, fail_rate = F.col("weighted_avg_grade"), F.col("fail_rate")
     red = any_true(
         F.col("failed_attempts_count") >= RED_FAILED_ATTEMPTS,

@@ -2,45 +2,51 @@
 
 from __future__ import annotations
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from gradewell import types as t
 from gradewell.operators import enrichment, quality, streaks
+from gradewell.oracle.declared import CHECKS
 from gradewell.plans import checks, fields, programme, risk
-from gradewell.plans.cohorts import student_milestones
-
-
-@pytest.fixture(scope="module")
-def stored(small):
-    db = duckdb.connect()
-    for name in ("fact_kpi", "dim_students", "dim_modul", "study_progress_kpi"):
-        small.store(name)
-        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{small.path(name)}/*.parquet'")
-    return db
+from gradewell.plans.cohorts import student_milestones, thesis_failed_for_good
+
+
+def literal_programme(small):
+    """The programme row from the plain product: attempts, their catalogue rows, and every graduate beside each."""
+    fact, students, modules = (small.ref(n) for n in ("fact_kpi", "dim_students", "dim_modul"))
+    holders = programme.students_with_degree(fact).withColumnRenamed("student_id", "holder")
+    short = students.filter(F.col("terms_taken_total_count") <= programme.STANDARD_TERMS).select(F.col("student_id").alias("holder"))
+    in_time = holders.join(short.distinct(), "holder", "left_semi").withColumn("timely", F.lit(1))
+    product = (
+        fact.join(students.drop("field_of_study"), "student_id")
+        .join(modules.select("module_id"), "module_id")
+        .crossJoin(holders.join(in_time, "holder", "left"))
+    )
+    passed, grade, credits = F.col("passed_flag") == 1, F.col("grade_numeric").cast("decimal(3,1)"), F.col("credits_earned")
+    thesis = F.col("module_id") == t.THESIS
+    lost = F.col("inactivity_flag") | thesis_failed_for_good()
 
+    def share(condition):
+        return F.round(100 * F.countDistinct(F.when(condition, F.col("student_id"))) / F.countDistinct("student_id"), 2)
 
-# Every attempt times every catalogue row of its module times every graduate.
-LITERAL = """
-WITH holders AS (SELECT DISTINCT student_id FROM fact_kpi WHERE module_id = 'I707' AND grade_numeric <> 5),
-in_time AS (SELECT DISTINCT student_id FROM dim_students JOIN holders USING (student_id) WHERE terms_taken_total_count < 5)
-SELECT count(DISTINCT s.student_id) AS students, round(1e2 * count(DISTINCT CASE WHEN m.module_id = 'I707' AND f.passed_flag = 1 THEN s.student_id END) / count(DISTINCT s.student_id), 2) AS graduated,
-  round(1e2 * count(DISTINCT CASE WHEN s.inactivity_flag OR (m.module_id = 'I707' AND f.passed_flag = 0 AND f.tries_count > 2) THEN s.student_id END) / count(DISTINCT s.student_id), 2) AS lost,
-  round(sum(CASE WHEN f.passed_flag = 1 THEN CAST(f.grade_numeric AS DECIMAL(3,1)) * f.credits_earned END) / sum(CASE WHEN f.passed_flag = 1 AND f.grade_numeric IS NOT NULL THEN f.credits_earned END), 2) AS mean,
-  median(f.grade_numeric) AS median, round(count(t.student_id) / count(h.student_id) * 100, 2) AS in_time
-FROM fact_kpi f JOIN dim_students s ON s.student_id = f.student_id JOIN dim_modul m ON m.module_id = f.module_id
-CROSS JOIN holders h LEFT JOIN in_time t ON t.student_id = h.student_id
-"""
+    return product.agg(
+        F.countDistinct("student_id"), share(thesis & passed), share(lost),
+        F.round(
+            F.sum(F.when(passed, grade * credits)).cast("double")
+            / F.sum(F.when(passed & grade.isNotNull(), credits)), 2,
+        ),
+        F.median("grade_numeric"), F.round(100 * F.count("timely") / F.count("holder"), 2),
+    ).first()
 
 
-def test_programme_equals_the_cross_join(small, stored):
+def test_programme_equals_the_cross_join(small):
     row = small.ref("studiengang_kpi").first()
-    expected = stored.execute(LITERAL).fetchall()[0]
     found = (
         row.students_total_count, row.graduation_rate, row.dropout_rate, row.weighted_avg_program_grade,
         row.median_program_grade, row.master_on_track_percent,
     )
-    assert found == tuple(expected)
+    assert found == pytest.approx(tuple(literal_programme(small)))
 
 
 def test_programme_without_graduates(small):
@@ -82,6 +88,23 @@ def test_matching_keeps_every_row(small):
     assert enrichment.best_module_match(clean, small.ref("dim_modul")).count() == clean.count()
 
 
+def test_hot_modules_with_a_large_catalogue(spark, small):
+    """Lookups too large to broadcast, every module hot: the same rows as by Spark's own choice."""
+    clean = small.ref("stg_students_clean").withColumn("study_regulations_year", F.lit(11).cast("bigint"))
+    modules = small.ref("dim_modul")
+    pairs = [
+        (enrichment.best_module_match(clean, modules), enrichment.best_module_match(clean, modules, 0, 50)),
+        (
+            enrichment.credits_awarded_conceptual(clean, modules),
+            enrichment.credits_awarded_conceptual(clean, modules, rows_per_task=50, lookup_rows=0),
+        ),
+    ]
+    for expected, found in pairs:
+        found = found.select(*expected.columns)
+        assert "BroadcastHashJoin" in str(expected._jdf.queryExecution().executedPlan().toString())
+        assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
 def test_credits_at_most_once(small):
     assert quality.dq_single_credit_award(small.ref("stg_students_with_credits")).isEmpty()
     enriched = small.ref("stg_students_with_credits")
@@ -117,12 +140,52 @@ def test_risk_levels(spark):
     )
     dims = spark.createDataFrame([(i, 4, i == 9) for i in range(1, 10)], "student_id long, terms_taken_total_count long, inactivity_flag boolean")
     found = {r.student_id: r.risk_flag for r in risk.risk_flag(kpi, dims).collect()}
+    twice = dims.unionByName(dims)  # a student of several fields
+    assert sorted(r.student_id for r in risk.risk_flag(kpi, twice).collect()) == list(range(1, 10))
     assert found == {1: "GREEN", 2: "RED", 3: "RED", 4: "RED", 5: "ORANGE", 6: "ORANGE", 7: "ORANGE", 8: "RED", 9: "ORANGE"}
 
 
 def test_declared_checks():
     kinds = {"not_null": 57, "unique": 4, "accepted": 20, "between": 8, "parents": 5}
     assert {k: sum(len(getattr(c, k)) for c in checks.DECLARED.values()) for k in kinds} == kinds
+    assert sum(map(len, CHECKS.values())) == 94
+
+
+def test_report_findings(spark):
+    """Literal rows for the documented edge cases."""
+    rows = [
+        (1, 11, "WiSe", "bestanden", 1.0, "k1", 40, 9), (1, 11, "WiSe", "bestanden", 1.0, "k2", 30, 2),
+        (2, 11, "WiSe", "nicht bestanden", 5.0, "k2", 0, 1), (2, 11, "SoSe", "bestanden", 2.0, None, 60, 1),
+    ]
+    enriched = spark.createDataFrame(
+        rows, "student_id long, year long, semester_type string, exam_status string, grade double, module_key string, credits_earned long, term_counter long"
+    )
+    modules = spark.createDataFrame([("A", "k1", 5), ("A", "k2", None), ("B", "k3", 5), ("B", "k4", 6)], "module_id string, module_key string, credits long")
+    found = {r.finding: r.n_rows for r in checks.invalid_combo_report(enriched, modules).collect()}
+    assert found["passed_without_credits"] == 1 and found["unusually_long_study"] == 1
+    assert found["unrealistic_credit_sum"] == 1 and found["module_with_differing_credits"] == 1
+    assert found["passed_without_catalogue_entry"] == 1
+    students = spark.createDataFrame([], t.STUDENTS)
+    odd = {r.finding: r.n_rows for r in checks.anomaly_counts(students, enriched, modules).collect()}
+    assert odd["catalogue_credits_missing"] == 2 and odd["catalogue_entry_missing"] == 1
+
+
+def test_report_is_one_pass_and_has_a_status(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a", 7), (1, None, 8), (None, "c", 9)], "k int, v string, p int").write.parquet(path)
+    parent = spark.createDataFrame([(7,), (8,)], "id int")
+    tables = {"t": spark.read.parquet(path), "parent": parent}
+    declared = {"t": quality.Checks(
+        not_null=("v", "p"), unique=("k",), accepted={"v": ("a", "c")}, between={"p": (0, 8)}, parents={"p": ("parent", "id")}
+    )}
+    report = quality.report(tables.__getitem__, declared)
+    found = {(r.column_name, r.check_name): (r.violations, r.status) for r in report.collect()}
+    assert found == {
+        ("v", "not_null"): (1, "fail"), ("p", "not_null"): (0, "pass"), ("k", "unique"): (1, "fail"),
+        ("v", "accepted_values"): (0, "pass"), ("p", "between"): (1, "fail"), ("p", "relationships"): (1, "fail"),
+    }
+    assert quality.summary(report).first() == (6, 2, 4)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
 
 
 def test_single_checks(spark):

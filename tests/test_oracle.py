@@ -11,8 +11,9 @@ import pytest
 import __spark_entry__ as entry
 from compare import assert_same
 
-QUERIES = entry.queries()
-STATEMENTS = entry.oracle_sql()
+OPTIONAL, OPTIONAL_STATEMENTS = entry.training_text()  # tested beside their subpackage, if it is there
+QUERIES = {name: query for name, query in entry.queries().items() if name not in OPTIONAL}
+STATEMENTS = {name: sql for name, sql in entry.oracle_sql().items() if name not in OPTIONAL_STATEMENTS}
 EMPTY_ON_SMALL_DATA = {"module_finally_failed", "dq_single_credit_award"}
 
 

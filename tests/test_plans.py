@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as entry
 from gradewell.operators import cleaning, enrichment
 
-NAMES = [n for n in entry.queries() if n not in ("write_table", "seed_module", "create_or_replace_table")]
+WRITING = ("write_table", "seed_module", "create_or_replace_table")
+NAMES = [n for n in entry.queries() if n not in WRITING and n not in entry.training_text()[0]]
 
 
 def plan(df) -> str:

@@ -75,6 +75,23 @@ def case(spark, request, tmp_path_factory):
     return warehouse, db
 
 
+@pytest.mark.parametrize("name", ["risk_flag", "early_warning_metrics", "invalid_combo_report", "anomaly_counts"])
+def test_risk_and_reports(case, name):
+    from gradewell.plans import checks, risk
+
+    w, db = case
+    build = {
+        "risk_flag": lambda: risk.risk_flag(w.ref("student_kpi"), w.ref("dim_students")),
+        "early_warning_metrics": lambda: risk.early_warning_metrics(
+            w.ref("student_kpi"), w.ref("dim_students"), w.ref("study_progress_rows"), w.ref("stg_students_clean")
+        ),
+        "invalid_combo_report": lambda: checks.invalid_combo_report(w.ref("stg_students_with_credits"), w.ref("dim_modul")),
+        "anomaly_counts": lambda: checks.anomaly_counts(w.ref("students"), w.ref("stg_students_with_credits"), w.ref("dim_modul")),
+    }
+    given = tuple(n for n in TABLES if n in ("raw_students", "raw_module", "raw_student_ml"))
+    assert assert_same(build[name](), db, with_tables(STATEMENTS[name], given)) > 0
+
+
 CHECKED = [n for n in (*LAYERS, *KPIS) if n not in INTERNAL]
 
 
