@@ -17,6 +17,9 @@ from gradewell.plans.modules import FINAL_TRY, catalogue_weights
 from gradewell.plans.progress import TERM_CREDITS, TOLERANCE, term_credits
 
 
+NOT_PASSED_GRADE = 5
+
+
 def thesis_failed_for_good() -> Column:
     return (F.col("module_id") == t.THESIS) & (F.col("passed_flag") == 0) & (F.col("tries_count") >= FINAL_TRY)
 
@@ -25,10 +28,16 @@ def thesis_passed() -> Column:
     return (F.col("module_id") == t.THESIS) & (F.col("passed_flag") == 1)
 
 
+def graded_thesis() -> Column:
+    """A thesis with a grade other than the failing one."""
+    return (F.col("module_id") == t.THESIS) & (F.col("grade_numeric") != NOT_PASSED_GRADE)
+
+
 def student_milestones(fact: DataFrame) -> DataFrame:
     """Thesis outcome and attempts that were no pass, per student with attempts."""
     return fact.groupBy("student_id").agg(
         F.max(thesis_passed()).alias("degree"),
+        F.max(F.coalesce(graded_thesis(), F.lit(False))).alias("graded_degree"),
         F.max(thesis_failed_for_good()).alias("failed_for_good"),
         F.sum(flag(F.col("passed_flag") == 0)).alias("failed_attempts"),
     )

@@ -11,14 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, percent, r, ratio, tenths
-from gradewell.plans.cohorts import student_milestones
+from gradewell.plans.cohorts import graded_thesis, student_milestones
 from gradewell.plans.modules import catalogue_weights
 from gradewell.plans.progress import graded_pass
 
 STANDARD_TERMS = 4
-NOT_PASSED_GRADE = 5
 
 
 def program_offtrack(progress: DataFrame) -> DataFrame:
@@ -37,8 +35,7 @@ def program_avg_terms(students: DataFrame) -> DataFrame:
 
 
 def students_with_degree(fact: DataFrame) -> DataFrame:
-    graded = (F.col("module_id") == t.THESIS) & (F.col("grade_numeric") != NOT_PASSED_GRADE)
-    return fact.filter(graded).select("student_id").distinct()
+    return fact.filter(graded_thesis()).select("student_id").distinct()
 
 
 def students_in_standard_period(fact: DataFrame, students: DataFrame) -> DataFrame:
@@ -68,14 +65,22 @@ def weighted_grades(fact: DataFrame, students: DataFrame, modules: DataFrame) ->
 
 
 def studiengang_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame, progress: DataFrame) -> DataFrame:
-    inactive = students.groupBy("student_id").agg(F.max("inactivity_flag").alias("inactive"))
+    """One row for the programme; the fact is read once for what is counted per student, once for grades."""
+    listed = students.groupBy("student_id").agg(
+        F.max("inactivity_flag").alias("inactive"),
+        F.max(F.col("terms_taken_total_count") <= STANDARD_TERMS).alias("timely"),
+        F.lit(True).alias("listed"),
+    )
+    known = F.col("listed")
     counts = (
         student_milestones(fact)
-        .join(inactive, "student_id")
+        .join(listed, "student_id", "left")
         .agg(
-            F.count("*").alias("present"),
-            F.sum(flag(F.col("degree"))).alias("degrees"),
-            F.sum(flag(F.col("failed_for_good") | F.col("inactive"))).alias("dropouts"),
+            F.count_if(known).alias("present"),
+            F.sum(F.when(known, flag(F.col("degree")))).alias("degrees"),
+            F.sum(F.when(known, flag(F.col("failed_for_good") | F.col("inactive")))).alias("dropouts"),
+            F.count_if(F.col("graded_degree")).alias("graduates"),
+            F.count_if(F.col("graded_degree") & F.col("timely")).alias("in_time"),
         )
     )
     grade, weight = F.col("grade_numeric"), F.col("weight")
@@ -84,8 +89,7 @@ def studiengang_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame, pr
         F.percentile(grade, 0.5, F.when(grade.isNull(), 0).otherwise(weight)).alias("median"),
         F.sum(weight).alias("joined_rows"),
     )
-    graduates = students_with_degree(fact).agg(F.count("*")).scalar()
-    in_time = students_in_standard_period(fact, students).agg(F.count("*")).scalar()
+    graduates, in_time = F.col("graduates"), F.col("in_time")
     off_track = program_offtrack(progress)
     terms_on, terms_all = off_track.select("total_offtrack_semesters").scalar(), off_track.select("total_semesters").scalar()
 
