@@ -73,8 +73,9 @@ def dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Words taken of every document."""
-    plan = mixing.mix_plan(table(spark, folder, "documents"), SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
+    """Words taken of every document, chosen by the systematic sample alone as the statement has it."""
+    docs = table(spark, folder, "documents")
+    plan = mixing.mix_plan(docs, SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED, sampled_only=True)
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -72,3 +72,22 @@ def test_documents_are_repeated_whole(spark):
     assert taken["a"] == 12
     odd = odd_documents(spark)
     assert mixing.mix(odd, (5, 2, 1)).columns == odd.columns
+
+
+def relative_misses(plan):
+    found = plan.filter("target > 0").groupBy("source").agg((F.abs(F.sum("taken") - F.first("target")) / F.first("target")).alias("miss"))
+    return {r.source: r.miss for r in found.collect()}
+
+
+def test_target_is_met_where_one_document_holds_half_the_words(spark):
+    rows = [(k * 1000 + j, "w " * (n if j else 299 * n), f"s{k}") for k, n in enumerate((1, 2, 3, 4, 5, 7)) for j in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for rows_per_slice in (30, 10_000):
+        found = relative_misses(mixing.mix_plan(docs, (5, 2, 1), rows_per_slice=rows_per_slice))
+        assert len(found) == 6 and max(found.values()) < 0.02, found
+        assert mixing.mix_plan(docs, (5, 2, 1), rows_per_slice=rows_per_slice).filter("taken > 3 * size").count() == 0
+
+
+def test_target_is_met_by_sources_of_ten_documents(spark, small_folder):
+    found = relative_misses(mixing.mix_plan(spark.read.parquet(f"{small_folder}/documents.parquet"), (5, 2, 1), seed=20))
+    assert len(found) == 20 and max(found.values()) < 0.03, found
