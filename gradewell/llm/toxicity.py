@@ -3,8 +3,9 @@
 * **Words** are lower-cased, without punctuation at their ends.  A word is the bag of its character n-grams, marked
   at both ends, and of itself, hashed into ``BUCKETS`` vectors; its vector is their mean, so a misspelling never
   seen shares most vectors with the word it comes from.
-* **Softmax.**  The mean vector of a stretch of ``STRETCH`` words goes through a linear layer into two classes.
-  A text gets the score of its most toxic stretch, so that a few words are found in a text of any length.
+* **Softmax.**  The mean vector of a stretch of ``STRETCH`` words goes through a linear layer into two classes.  Stretches
+  start at every word, and a text shorter than one is a stretch.  A text gets the score of its most toxic stretch, so
+  that a few words are found in a text of any length and at any place.
 * **Training.**  Vectors and layer are trained together on a bounded sample of labelled rows that are not held out, in
   one task: first every stretch takes the label of its text, then only the most toxic one of each text does.  A
   part of the sample is left out; its margins calibrate the score to the share of label 1 among all labelled rows.
@@ -68,6 +69,16 @@ def _starts(lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(lengths) - lengths
 
 
+def _running(values: np.ndarray) -> np.ndarray:
+    """Sums of the first 0, 1, 2 ... values."""
+    return np.concatenate([[0.0], np.cumsum(values)])
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` places the sum of the values of the stretches it is in."""
+    return np.cumsum(np.bincount(starts, values, n + 1) - np.bincount(ends, values, n + 1))[:n]
+
+
 class Corpus:
     """Texts of a sample as numbers: words of every text, subwords of every distinct word, stretches of every text."""
 
@@ -80,13 +91,13 @@ class Corpus:
         self.bag_sizes = np.array([len(b) for b in bags], np.int64)
         self.bags = np.concatenate(bags) if bags else np.empty(0, np.int64)
         self.bag_starts = _starts(self.bag_sizes)
-        stretches = [ids[k : k + STRETCH] for ids in each for k in range(0, max(len(ids), 1), STRETCH)]
-        self.sizes = np.array([len(s) for s in stretches], np.int64)
-        self.words = np.array([w for s in stretches for w in s], np.int64)
-        self.starts = _starts(self.sizes)
-        counts = np.array([max(1, -(-len(ids) // STRETCH)) for ids in each], np.int64)
+        self.words = np.array([w for ids in each for w in ids], np.int64)
+        lengths = np.array([len(ids) for ids in each], np.int64)
+        counts = np.maximum(lengths - STRETCH, 0) + 1
         self.text_starts = _starts(counts)
         self.text = np.repeat(np.arange(len(each)), counts)
+        self.sizes = np.minimum(lengths, STRETCH)[self.text]
+        self.starts = np.arange(counts.sum()) + (_starts(lengths) - self.text_starts)[self.text]
 
     def word_values(self, buckets: np.ndarray) -> np.ndarray:
         """Number of every distinct word: the mean over its bag."""
@@ -95,14 +106,13 @@ class Corpus:
 
     def margins(self, buckets: np.ndarray) -> np.ndarray:
         """Mean over the words of every stretch."""
-        value = np.append(self.word_values(buckets)[self.words], 0.0)
-        sums = np.add.reduceat(value, np.minimum(self.starts, len(self.words)))
-        return np.where(self.sizes > 0, sums / np.maximum(self.sizes, 1), 0.0)
+        total = _running(self.word_values(buckets)[self.words])
+        return (total[self.starts + self.sizes] - total[self.starts]) / np.maximum(self.sizes, 1)
 
     def most(self, margins: np.ndarray) -> np.ndarray:
         """The stretch with the largest margin of every text."""
-        order = np.lexsort((-margins, self.text))
-        return order[self.text_starts]
+        largest = np.flatnonzero(margins == np.maximum.reduceat(margins, self.text_starts)[self.text])
+        return largest[np.unique(self.text[largest], return_index=True)[1]]
 
 
 def learn(corpus: Corpus, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,8 +152,9 @@ def learn(corpus: Corpus, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 
 def curvature(corpus: Corpus, weight: np.ndarray) -> np.ndarray:
     """Weighted sum of squares of what each bucket contributes to the mean of a stretch."""
-    owner = np.repeat(np.arange(len(corpus.sizes)), corpus.sizes)
-    of_words = np.bincount(corpus.words, (weight / np.maximum(corpus.sizes, 1) ** 2)[owner], len(corpus.bag_sizes))
+    each = weight / np.maximum(corpus.sizes, 1) ** 2
+    at_place = np.maximum(_spread(corpus.starts, corpus.starts + corpus.sizes, each, len(corpus.words)), 0.0)
+    of_words = np.bincount(corpus.words, at_place, len(corpus.bag_sizes))
     of_word = np.repeat(np.arange(len(corpus.bag_sizes)), corpus.bag_sizes)
     return np.bincount(corpus.bags, (of_words / corpus.bag_sizes**2)[of_word], BUCKETS)
 
@@ -153,16 +164,19 @@ def gradients(
     bias: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gradients of the weighted softmax loss of the chosen stretches: bucket vectors, layer, bias."""
-    sizes = corpus.sizes[chosen]
-    owner = np.repeat(np.arange(len(chosen)), sizes)
-    at = np.repeat(corpus.starts[chosen] - _starts(sizes), sizes) + np.arange(sizes.sum())
+    sizes, n = corpus.sizes[chosen], len(corpus.words)
+    starts, ends = corpus.starts[chosen], corpus.starts[chosen] + sizes
+    covered = np.cumsum(np.bincount(starts, minlength=n + 1) - np.bincount(ends, minlength=n + 1))[:n] > 0
+    rank = np.concatenate([[0], np.cumsum(covered)])
+    starts, ends, at = rank[starts], rank[ends], np.flatnonzero(covered)  # among the words of chosen stretches
     word, place = np.unique(corpus.words[at], return_inverse=True)
     bag_sizes = corpus.bag_sizes[word]
     of_word = np.repeat(np.arange(len(word)), bag_sizes)
     bags = corpus.bags[np.repeat(corpus.bag_starts[word] - _starts(bag_sizes), bag_sizes) + np.arange(bag_sizes.sum())]
 
     word_vectors = _sums(of_word, vectors[bags], len(word)) / bag_sizes[:, None]
-    means = _sums(owner, word_vectors[place], len(chosen)) / np.maximum(sizes, 1)[:, None]
+    running = (_running(word_vectors[place, d]) for d in range(vectors.shape[1]))
+    means = np.stack([total[ends] - total[starts] for total in running], axis=1) / np.maximum(sizes, 1)[:, None]
     logits = means @ layer + bias
     p = np.exp(logits - logits.max(axis=1, keepdims=True))
     error = p / p.sum(axis=1, keepdims=True)
@@ -170,7 +184,8 @@ def gradients(
     error *= weight[:, None]
 
     back = (error @ layer.T) / np.maximum(sizes, 1)[:, None]
-    back_words = _sums(place, back[owner], len(word)) / bag_sizes[:, None]
+    spread = (_spread(starts, ends, back[:, d], len(at)) for d in range(back.shape[1]))
+    back_words = np.stack([np.bincount(place, one, len(word)) for one in spread], axis=1) / bag_sizes[:, None]
     return _sums(bags, back_words[of_word], BUCKETS), means.T @ error, error.sum(axis=0)
 
 
@@ -211,10 +226,9 @@ def margin(text: str, values: Values) -> float:
     found = words(text)
     if not found:
         return 0.0
-    value = np.fromiter(map(values.__getitem__, found), np.float64, len(found))
-    starts = np.arange(0, len(found), STRETCH)
-    sizes = np.minimum(STRETCH, len(found) - starts)
-    return float((np.add.reduceat(value, starts) / sizes).max())
+    total = _running(np.fromiter(map(values.__getitem__, found), np.float64, len(found)))
+    size = min(STRETCH, len(found))
+    return float((total[size:] - total[:-size]).max()) / size
 
 
 def _fit(given: pd.DataFrame, prior: float) -> bytes:

@@ -111,6 +111,28 @@ def test_gradients_are_those_of_the_loss(monkeypatch):
         assert abs((up - loss(*parameters)) / 2e-5 - got[k][at]) < 1e-6
 
 
+def test_score_does_not_depend_on_where_a_passage_starts():
+    buckets = np.zeros(toxicity.BUCKETS)
+    buckets[toxicity.subwords("insult")] = 1.0
+    values = toxicity.Values(buckets)
+    found = [toxicity.margin(" ".join(["so"] * k + ["insult"] * 4 + ["so"] * (40 - k)), values) for k in range(41)]
+    base = values["so"] + (values["insult"] - values["so"]) * 4 / toxicity.STRETCH
+    assert np.allclose(found, base)
+    ending = toxicity.margin(" ".join(["so"] * 32 + ["insult"]), values)  # no stretch of one word
+    assert np.isclose(ending, values["so"] + (values["insult"] - values["so"]) / toxicity.STRETCH)
+
+
+def test_training_sees_the_stretches_that_are_scored(monkeypatch):
+    monkeypatch.setattr(toxicity, "MIN_TEXTS", 1)
+    texts = [" ".join(f"w{k * j % 7}" for k in range(n)) for j, n in enumerate((0, 1, 15, 16, 17, 50))]
+    corpus = toxicity.Corpus(texts)
+    buckets = np.random.default_rng(4).normal(size=toxicity.BUCKETS)
+    margins = corpus.margins(buckets)
+    assert np.bincount(corpus.text).tolist() == [1, 1, 1, 1, 2, 35]
+    expected = [toxicity.margin(t, toxicity.Values(buckets)) for t in texts]
+    assert np.allclose(margins[corpus.most(margins)], expected)
+
+
 @pytest.mark.parametrize("operator", [nb_svm, toxicity])
 def test_odd_documents(spark, operator):
     docs = odd_documents(spark)
