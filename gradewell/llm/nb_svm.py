@@ -1,7 +1,8 @@
 """Quality classifier: n-gram indicators scaled by class log-count ratios, then a linear hinge-loss model.
 
-* **Features.**  Lower-cased words, word shapes ("ABC!!" is "X!!") and pairs of neighbouring shapes, marked when both
-  words are the same; hashed into ``BUCKETS`` indicators per document.
+* **Features.**  Lower-cased words, word shapes ("ABC!!" is "X!") and pairs of neighbouring shapes, marked when both
+  words are the same; hashed into ``BUCKETS`` indicators per document.  A word of more than ``PIECE`` characters, as in
+  text without blanks, is read as its consecutive pieces, so that all of it gives features.
 * **Naive Bayes.**  Documents with a feature are counted per class over *all* labelled rows that are not held out;
   a feature's scale is the log of the ratio of its smoothed shares.
 * **Support vectors.**  On a bounded sample of these rows, half of each class, the scaled indicators are fitted
@@ -35,6 +36,8 @@ BUCKETS = 1 << 18
 #: Most labelled rows the hinge-loss model is fitted on.
 SAMPLE_ROWS = 6_000
 COST = 0.1
+#: Most characters of a word that is one feature.
+PIECE = 64
 EPOCHS = 20
 #: Words a task remembers.
 MEMORY = 400_000
@@ -44,7 +47,7 @@ _RUNS = re.compile(r"(.)\1+", re.DOTALL)
 
 def shape(word: str) -> str:
     """The word with upper-case letters as X, others as x, digits as 9, and every run as one character."""
-    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return _RUNS.sub(r"\1", kinds)
 
 
@@ -62,6 +65,8 @@ class Codes(dict):
 def features(text: str, codes: Codes) -> np.ndarray:
     """Buckets of a text's features, each once."""
     words = text.split()
+    if max(map(len, words), default=0) > PIECE:
+        words = [w[k : k + PIECE] for w in words for k in range(0, len(w), PIECE)]
     code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
     shapes = (code & 0xFFFFFFFF).astype(np.uint64)
     same = (code[1:] == code[:-1]).astype(np.uint64)

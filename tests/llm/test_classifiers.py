@@ -143,3 +143,18 @@ def test_odd_documents(spark, operator):
         assert {r["a.b"] for r in found} == {14}
         assert len({r.score for r in found if r.doc_id == 1}) == 1
     assert operator.judge(docs.limit(0), labels, "toxic", 4, 2, 0.3).count() == 0
+
+
+def test_quality_reads_all_of_a_text_without_blanks(spark):
+    draw = random.Random(3)
+    rows, labels = [], []
+    for k in range(300):
+        body = "".join(chr(draw.randint(0x4E00, 0x4EFF)) for _ in range(640))
+        rows.append((k, body if k % 2 else body[:320] + "#7" * 160))
+        labels.append((k, k % 2, 0))
+    a, b = "x" * 64 + "abc", "x" * 64 + "!9!"
+    assert set(nb_svm.features(a, nb_svm.Codes())) != set(nb_svm.features(b, nb_svm.Codes()))
+    assert nb_svm.shape(a) != nb_svm.shape(b)
+    docs, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, LABELS)
+    held = nb_svm.judge(docs, known, "quality", 5, 0, 0.3).filter("held_out").join(known, "doc_id").collect()
+    assert area([r.score for r in held], [r.quality for r in held]) > 0.95
