@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradewell.llm import decontamination, line_dedup, mixing, nb_svm, preferences, quality_rules, simhash, token_counts, toxicity, url_filter
+from gradewell.llm import (
+    alignment, decontamination, line_dedup, mixing, nb_svm, packing, preferences, quality_rules, simhash, token_counts, toxicity,
+    url_filter, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +34,12 @@ LINE_DOCUMENTS = 10
 QUALITY_FOLDS, QUALITY_HELD_OUT = 5, 0
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 THRESHOLD = 0.3
+#: Leading components of the embeddings that are returned.
+COMPONENTS = 8
+#: Vocabularies that are aligned.
+BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: Vocabulary of the packed documents, and the id that closes one.
+PACKED_VOCABULARY, CLOSING_ID = "word_bpe_49k.json", 2
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -117,6 +126,28 @@ def score_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "score", "predicted")
 
 
+def whiten_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """Whitened embeddings, one row a component."""
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding", COMPONENTS)
+    each = found.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened",
+        F.get("explained", F.col("place")).alias("explained"), "identity_error",
+    )
+
+
+def align_vocabularies(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two vocabularies meet in every document, and how usual these meetings are in all of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = alignment.align(docs, BYTE_VOCABULARY, PIECE_VOCABULARY, digest_groups=True)
+    return found.drop("text").withColumnRenamed("groups", "groups_sha256")
+
+
+def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as pieces of sequences with little padding."""
+    return packing.pack(table(spark, folder, "documents").select("doc_id", "text"), PACKED_VOCABULARY, CLOSING_ID)
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": filter_urls,
     "op2_token_counts": count_tokens,
@@ -128,4 +159,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": classify_quality,
     "op9_quality_rules": judge_quality,
     "op10_toxicity": score_toxicity,
+    "op11_whitening": whiten_embeddings,
+    "op12_token_alignment": align_vocabularies,
+    "op13_packing": pack_documents,
 }

@@ -9,7 +9,7 @@ from compare import assert_same
 from gradewell.llm.queries import QUERIES
 from gradewell.llm.statements import STATEMENTS
 
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
@@ -26,4 +26,4 @@ def test_same_rows(spark, small_folder, db, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
