@@ -91,7 +91,7 @@ def test_short_documents_stay_whole_and_in_short_windows():
     assert len(cut) < 500  # 100 and 128 do not divide one another
     assert {r["tier"] for r in rows} >= {128, 4096}
     long = [r for r in rows if r["key"] < 0 and r["length"] == 3000]
-    assert len(long) >= 15 and {r["tier"] for r in long} == {4096}
+    assert len(long) >= 12 and {r["tier"] for r in long} == {4096}
 
 
 def test_step_groups_are_balanced():
@@ -106,7 +106,7 @@ def test_step_groups_are_balanced():
         in_a_row.setdefault(alone.steps.place(t), []).append(t)
     full = [t for t in size.values() if sum(t) == p.STEP]
     assert max(map(sum, size.values())) == p.STEP and len(full) >= 0.9 * len(size)
-    assert len(full) > 1.5 * sum(sum(t) == p.STEP for t in in_a_row.values())
+    assert len(full) > 1.3 * sum(sum(t) == p.STEP for t in in_a_row.values())
     work = [sum(t * t for t in g) for g in full]
     assert np.std(work) < 0.15 * np.mean(work)
 
