@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
 from typing import NamedTuple
@@ -39,10 +39,13 @@ from gradewell.operators.skew import ROWS_PER_TASK, hot_keys, join_split
 
 #: Pairs whose counts may be sent to every task.
 BROADCAST_PAIRS = 2_000_000
-#: Parts of texts a task remembers, and the longest of them.
-MEMORY, LONGEST_PART = 100_000, 64
+#: Parts of texts a task remembers, new ones that are encoded together, and characters that are read at a time.
+MEMORY, TOGETHER, SLICE = 200_000, 5_000, 1 << 20
 #: A space after a non-blank, before more than spaces.
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
+#: Parts of characters whose classes are plain, and how A cuts them.
+_PLAIN = re.compile(r"[ -~À-ÖØ-öø-ÿ]+").fullmatch
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
 ALIGNED = "n_a bigint, n_b bigint, n_groups bigint, groups string, pairs array<bigint>, times array<bigint>"
 
@@ -52,39 +55,21 @@ class Part(NamedTuple):
 
     n_a: int
     n_b: int
-    groups: tuple[str, ...]
+    n_groups: int
+    groups: str
     pairs: tuple[int, ...]
 
 
-def aligned(a: list[int], a_bytes: list[bytes], b: list[int], b_bytes: list[bytes]) -> Part:
-    """Groups and links of two token sequences over the same bytes."""
-    groups, pairs, i, j = [], [], 0, 0
-    while i < len(a):
-        first_a, first_b = i, j
-        end_a, end_b = len(a_bytes[i]), len(b_bytes[j])
-        while end_a != end_b:
-            if end_a < end_b:
-                i += 1
-                end_a += len(a_bytes[i])
-            else:
-                j += 1
-                end_b += len(b_bytes[j])
-        pairs.append(a[i] << 32 | b[j])
-        i, j = i + 1, j + 1
-        groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-    return Part(len(a), len(b), tuple(groups), tuple(pairs))
-
-
-def byte_alphabet() -> dict[str, int]:
-    """The characters by which byte-level vocabularies write bytes: printable Latin-1 ones stand for themselves, the
-    others in order for characters from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+def _cuts(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Number of tokens up to each of the ends ``at``."""
+    return np.searchsorted(ends, at) + 1
 
 
 class Aligner:
-    """Encodes texts by both vocabularies and aligns them."""
+    """Encodes texts by both vocabularies and aligns them.
+
+    A part of plain characters is cut as A does it and A's model splits the pieces; A's library encodes every other part.
+    """
 
     def __init__(self, name_a: str, name_b: str) -> None:
         import sentencepiece
@@ -94,46 +79,89 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
+        self.model = self.a.model
         self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary.path(name_b))
-        alphabet = byte_alphabet()
-        self.bytes_a = {i: bytes(alphabet[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in alphabet for c in t)}
+        alphabet = vocabulary.byte_alphabet()
+        self.bytes_a = [b""] * self.a.get_vocab_size()
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            if all(c in alphabet for c in token):
+                self.bytes_a[i] = bytes(alphabet[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.sizes_a, self.sizes_b = (np.array([*map(len, known)], np.int64) for known in (self.bytes_a, self.bytes_b))
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = np.array([[f"{i}{mark}" for i in range(most)] for mark in ",|;"], object)
         #: Texts may be cut before a space only if no piece of B goes on across one.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known: dict[str, Part | None] = {}
-
-    def whole(self, text: str) -> Part | None:
-        """Alignment of a text that starts with a space, the one B adds; None if its bytes do not come back."""
-        data = text.encode()
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:], num_threads=1)
-        a_bytes, b_bytes = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
+        self.pieces = vocabulary.Recent(self._pieces, MEMORY)
+        self.parts = vocabulary.Recent(self._parts, MEMORY)
+
+    def _pieces(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
+        return (tuple([t.id for t in self.model.tokenize(p.translate(vocabulary.SPELLED))]) for p in pieces)
+
+    def _ids_a(self, parts: list[str]) -> list[int]:
+        plain = [bool(_PLAIN(p)) for p in parts]
+        cut = self.pieces.each([_PIECE.findall(p) for p, known in zip(parts, plain) if known])
+        each = (chain.from_iterable(next(cut)) if known else self.a.encode(p, add_special_tokens=False).ids for p, known in zip(parts, plain))
+        return [*chain.from_iterable(each)]
+
+    def together(self, parts: list[str]) -> list[Part] | None:
+        """Alignments of parts that start with a space and may be joined; None if not all bytes come back."""
+        joined = "".join(parts)
+        data, a, b = joined.encode(), self._ids_a(parts), self.b.encode(joined[1:], num_threads=1)
+        if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
             return None
-        return aligned(a, a_bytes, b, b_bytes)
-
-    def _part(self, part: str) -> Part | None:
-        if part in self.known:
-            return self.known[part]
-        found = self.whole(part)
-        if len(part) <= LONGEST_PART:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            self.known[part] = found
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        cut_a, cut_b = _cuts(ends_a, common), _cuts(ends_b, common)  # tokens up to the end of every group
+        pairs = (a[cut_a - 1] << 32 | b[cut_b - 1]).tolist()
+
+        # a group is written as its A tokens, each with a comma but the last, and its B tokens in the same way
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[cut_a - 1], mark_b[cut_b - 1] = 1, 2
+        group_a, group_b = np.repeat(np.arange(len(common)), np.diff(cut_a, prepend=0)), np.repeat(np.arange(len(common)), np.diff(cut_b, prepend=0))
+        texts = np.empty(len(a) + len(b), object)
+        texts[np.arange(len(a)) + np.concatenate([[0], cut_b])[group_a]] = self.written[mark_a, a]
+        texts[np.arange(len(b)) + cut_a[group_b]] = self.written[mark_b, b]
+        texts = texts.tolist()
+
+        ends = np.cumsum([len(p.encode()) for p in parts])
+        last = np.searchsorted(common, ends)  # a part ends where tokens of both do
+        n_a, n_b, n_groups = cut_a[last], cut_b[last], last + 1
+        bounds = zip(n_a.tolist(), n_b.tolist(), n_groups.tolist())
+        found, i, j, k = [], 0, 0, 0
+        for to_a, to_b, to_k in bounds:
+            groups = "".join(texts[i + j : to_a + to_b])[:-1]
+            found.append(Part(to_a - i, to_b - j, to_k - k, groups, tuple(pairs[k:to_k])))
+            i, j, k = to_a, to_b, to_k
         return found
 
-    def align(self, text: str) -> tuple[int, int, int, str, list[int], list[int]] | None:
-        """Numbers of tokens of either kind and of groups, the groups, distinct pairs and their times."""
-        if not text:
-            return None
-        parts = [self._part(p) for p in (_CUT.split(" " + text) if self.cuts else [" " + text])]
-        if None in parts:
-            return None
-        groups = list(chain.from_iterable(p.groups for p in parts))
-        times = Counter(chain.from_iterable(p.pairs for p in parts))
-        return sum(p.n_a for p in parts), sum(p.n_b for p in parts), len(groups), ";".join(groups), list(times), list(times.values())
+    def _parts(self, parts: list[str]) -> Iterator[Part | tuple]:
+        """Alignment of every part, an empty tuple for those whose bytes do not come back.
+
+        Parts that start with a space and end without one are encoded together, as text that can be cut there.
+        """
+        for first in range(0, len(parts), TOGETHER):
+            some = parts[first : first + TOGETHER]
+            fit = [p for p in some if not p[-1].isspace()] if self.cuts else []
+            found = dict(zip(fit, self.together(fit) or ())) if fit else {}
+            for part in some:
+                yield found[part] if part in found else (self.together([part]) or [()])[0]
+
+    def align(self, texts: Iterable[str]) -> Iterator[tuple | None]:
+        """For every text its numbers of tokens of either kind and of groups, the groups, distinct pairs and their times."""
+        for some in vocabulary.slices(texts, SLICE):
+            cut = [[] if not t else _CUT.split(" " + t) if self.cuts else [" " + t] for t in some]
+            for parts in self.parts.each(cut):
+                if not parts or () in parts:
+                    yield None
+                    continue
+                n_a, n_b, n_groups, groups, pairs = zip(*parts)
+                times = Counter(chain.from_iterable(pairs))
+                yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), list(times), list(times.values())
 
 
 @cache
@@ -147,14 +175,15 @@ def distinct_texts(docs: DataFrame, name_a: str, name_b: str, text: str, digest_
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         align = aligner(name_a, name_b).align
-        for texts in batches:
-            rows = []
-            for found in map(align, texts):
-                n_a, n_b, n_groups, groups, pairs, times = found or (0, 0, 0, "", [], [])
-                if digest_groups and found:
-                    groups = hashlib.sha256(groups.encode()).hexdigest()
-                rows.append((n_a, n_b, n_groups, groups, np.array(pairs, np.int64), np.array(times, np.int64)))
-            yield pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "groups", "pairs", "times"])
+        with vocabulary.no_cycles():
+            for texts in batches:
+                rows = []
+                for found in align(texts):
+                    n_a, n_b, n_groups, groups, pairs, times = found or (0, 0, 0, "", [], [])
+                    if digest_groups and found:
+                        groups = hashlib.sha256(groups.encode()).hexdigest()
+                    rows.append((n_a, n_b, n_groups, groups, np.array(pairs, np.int64), np.array(times, np.int64)))
+                yield pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "groups", "pairs", "times"])
 
     found = counted.select(F.sha2("text", 256).alias("digest"), "n_docs", F.pandas_udf(run, ALIGNED)("text").alias("of"))
     return stored(found.select("digest", "n_docs", "of.*"), "aligned")

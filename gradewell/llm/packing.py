@@ -23,7 +23,7 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field as attribute
 from functools import cache
 from itertools import chain
@@ -45,10 +45,15 @@ STOCK = 8
 #: Tokens of a step group, and groups a task fills at a time.
 STEP = 16 * LARGEST
 OPEN = 8
-#: Words a task remembers, and the longest of them.
-MEMORY, LONGEST_WORD = 200_000, 64
-
-_BLANK = re.compile(r"[ \t\n\r\x0b\x0c]+")
+#: Words a task remembers, and characters it encodes at a time.
+MEMORY, SLICE = 300_000, 1 << 20
+
+#: Blanks of the vocabulary; of Python's own, these four characters are none.
+_BLANK = re.compile(r"[^\S\x1c-\x1f]+")
+_ODD = re.compile(r"[\x1c-\x1f]").search
+#: Words of characters that no normalisation joins or splits, and how the vocabulary cuts them.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 #: Rows a task sends at once.
 ROWS = 10_000
 PIECES = (
@@ -59,7 +64,11 @@ COLUMNS = [c.split()[0] for c in PIECES.split(", ")]
 
 
 class Encoder:
-    """Ids of texts for a vocabulary that drops white space, so that words between blanks are encoded on their own."""
+    """Ids of texts for a byte-level vocabulary that drops white space, so that words between blanks are encoded on their own.
+
+    A word of plain characters is lower-cased and cut as the vocabulary does it, and its model splits the pieces; the
+    library encodes every other word as it is.
+    """
 
     def __init__(self, name: str, closing: int | None) -> None:
         import tokenizers
@@ -67,23 +76,29 @@ class Encoder:
         self.library = tokenizers.Tokenizer.from_file(vocabulary.path(name))
         self.library.no_truncation()
         self.library.no_padding()
-        self.closing = closing
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _word(self, word: str) -> tuple[int, ...]:
-        ids = self.known.get(word)
-        if ids is None:
-            ids = tuple(self.library.encode(word, add_special_tokens=False).ids)
-            if len(word) <= LONGEST_WORD:
-                if len(self.known) >= MEMORY:
-                    self.known.clear()
-                self.known[word] = ids
-        return ids
-
-    def ids(self, text: str) -> np.ndarray:
-        end = () if self.closing is None else (self.closing,)
-        words = map(self._word, _BLANK.split(text))
-        return np.fromiter(chain(chain.from_iterable(words), end), np.uint32)
+        self.model = self.library.model
+        self.closing = () if closing is None else (closing,)
+        self.words = vocabulary.Recent(self._words, MEMORY)
+        self.pieces = vocabulary.Recent(self._pieces, MEMORY)
+
+    def _pieces(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
+        return (tuple([t.id for t in self.model.tokenize(p.translate(vocabulary.SPELLED))]) for p in pieces)
+
+    def _words(self, words: list[str]) -> Iterator[tuple[int, ...]]:
+        plain = [bool(_PLAIN(w)) and "<|" not in w for w in words]
+        cut = self.pieces.each([_PIECE.findall(w.lower()) for w, p in zip(words, plain) if p])
+        for word, known in zip(words, plain):
+            if known:
+                ids = next(cut)
+                yield ids[0] if len(ids) == 1 else tuple(chain.from_iterable(ids))
+            else:
+                yield tuple(self.library.encode(word, add_special_tokens=False).ids)
+
+    def ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        """Ids of every text, with the closing one."""
+        for some in vocabulary.slices(texts, SLICE):
+            for found in self.words.each([_BLANK.split(t) if _ODD(t) else t.split() for t in some]):
+                yield np.array([*chain.from_iterable(found), *self.closing], np.uint32)
 
 
 @cache
@@ -248,17 +263,18 @@ def pack(docs: DataFrame, vocabulary_name: str, closing: int | None, key: str =
             types = [kind, *[pa.int64()] * 6, pa.int32(), pa.int64(), pa.int64()]
             return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], COLUMNS)
 
-        for batch in batches:
-            kind, rows = batch.schema.field(0).type, []
-            for one, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows += packer.add(one, encode.ids(words))
-                if len(rows) >= ROWS:
+        with vocabulary.no_cycles():
+            for batch in batches:
+                kind, rows = batch.schema.field(0).type, []
+                for one, ids in zip(batch.column(0).to_pylist(), encode.ids(batch.column(1).to_pylist())):
+                    rows += packer.add(one, ids)
+                    if len(rows) >= ROWS:
+                        yield batch_of(rows)
+                        rows = []
+                if rows:
                     yield batch_of(rows)
-                    rows = []
-            if rows:
+            if rows := list(packer.finish()):
                 yield batch_of(rows)
-        if rows := list(packer.finish()):
-            yield batch_of(rows)
 
     pieces = stored(given.mapInArrow(run, schema), "pieces")
     window = Window.partitionBy("_of").orderBy("task", "key", "start", "ids_crc32")
