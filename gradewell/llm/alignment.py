@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import chain
@@ -51,13 +51,13 @@ ALIGNED = "n_a bigint, n_b bigint, n_groups bigint, groups string, pairs array<b
 
 
 class Part(NamedTuple):
-    """Alignment of one part of a text; ``pairs`` has A's id above 32 bits of B's, one entry a link."""
+    """Alignment of one part of a text; ``pairs`` has A's id above 32 bits of B's, one long a link."""
 
     n_a: int
     n_b: int
     n_groups: int
     groups: str
-    pairs: tuple[int, ...]
+    pairs: bytes
 
 
 def _cuts(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -98,26 +98,28 @@ class Aligner:
         self.pieces = vocabulary.Recent(self._pieces, MEMORY)
         self.parts = vocabulary.Recent(self._parts, MEMORY)
 
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
-        return (tuple([t.id for t in self.model.tokenize(p.translate(vocabulary.SPELLED))]) for p in pieces)
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        spell, split, whole = vocabulary.SPELLED, self.model.tokenize, self.a.encode
+        return [
+            array("q", [t.id for t in split(p.translate(spell))] if _PLAIN(p) else whole(p, add_special_tokens=False).ids).tobytes()
+            for p in pieces
+        ]
 
-    def _ids_a(self, parts: list[str]) -> list[int]:
-        plain = [bool(_PLAIN(p)) for p in parts]
-        cut = self.pieces.each([_PIECE.findall(p) for p, known in zip(parts, plain) if known])
-        each = (chain.from_iterable(next(cut)) if known else self.a.encode(p, add_special_tokens=False).ids for p, known in zip(parts, plain))
-        return [*chain.from_iterable(each)]
+    def _ids_a(self, parts: list[str]) -> np.ndarray:
+        cut = (_PIECE.findall(p) if _PLAIN(p) else (p,) for p in parts)
+        return np.frombuffer(b"".join(next(self.pieces.each([list(chain.from_iterable(cut))]))), np.int64)
 
     def together(self, parts: list[str]) -> list[Part] | None:
         """Alignments of parts that start with a space and may be joined; None if not all bytes come back."""
         joined = "".join(parts)
         data, a, b = joined.encode(), self._ids_a(parts), self.b.encode(joined[1:], num_threads=1)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
+        if b"".join(map(self.bytes_a.__getitem__, a.tolist())) != data or b"".join(map(self.bytes_b.__getitem__, b)) != data:
             return None
-        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        b = np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         cut_a, cut_b = _cuts(ends_a, common), _cuts(ends_b, common)  # tokens up to the end of every group
-        pairs = (a[cut_a - 1] << 32 | b[cut_b - 1]).tolist()
+        pairs = a[cut_a - 1] << 32 | b[cut_b - 1]
 
         # a group is written as its A tokens, each with a comma but the last, and its B tokens in the same way
         mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -135,7 +137,7 @@ class Aligner:
         found, i, j, k = [], 0, 0, 0
         for to_a, to_b, to_k in bounds:
             groups = "".join(texts[i + j : to_a + to_b])[:-1]
-            found.append(Part(to_a - i, to_b - j, to_k - k, groups, tuple(pairs[k:to_k])))
+            found.append(Part(to_a - i, to_b - j, to_k - k, groups, pairs[k:to_k].tobytes()))
             i, j, k = to_a, to_b, to_k
         return found
 
@@ -160,8 +162,8 @@ class Aligner:
                     yield None
                     continue
                 n_a, n_b, n_groups, groups, pairs = zip(*parts)
-                times = Counter(chain.from_iterable(pairs))
-                yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), list(times), list(times.values())
+                links = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_counts=True)
+                yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), *links
 
 
 @cache
@@ -169,6 +171,9 @@ def aligner(name_a: str, name_b: str) -> Aligner:
     return Aligner(name_a, name_b)
 
 
+_NONE = np.zeros(0, np.int64)
+
+
 def distinct_texts(docs: DataFrame, name_a: str, name_b: str, text: str, digest_groups: bool) -> DataFrame:
     """One row a distinct text: digest, n_docs and its alignment, stored."""
     counted = packed(docs).select(F.coalesce(field(text), F.lit("")).alias("text")).groupBy("text").agg(F.count("*").alias("n_docs"))
@@ -179,10 +184,10 @@ def distinct_texts(docs: DataFrame, name_a: str, name_b: str, text: str, digest_
             for texts in batches:
                 rows = []
                 for found in align(texts):
-                    n_a, n_b, n_groups, groups, pairs, times = found or (0, 0, 0, "", [], [])
+                    n_a, n_b, n_groups, groups, pairs, times = found or (0, 0, 0, "", _NONE, _NONE)
                     if digest_groups and found:
                         groups = hashlib.sha256(groups.encode()).hexdigest()
-                    rows.append((n_a, n_b, n_groups, groups, np.array(pairs, np.int64), np.array(times, np.int64)))
+                    rows.append((n_a, n_b, n_groups, groups, pairs, times))
                 yield pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "groups", "pairs", "times"])
 
     found = counted.select(F.sha2("text", 256).alias("digest"), "n_docs", F.pandas_udf(run, ALIGNED)("text").alias("of"))

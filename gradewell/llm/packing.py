@@ -21,12 +21,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field as attribute
 from functools import cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,7 @@ _BLANK = re.compile(r"[^\S\x1c-\x1f]+")
 _ODD = re.compile(r"[\x1c-\x1f]").search
 #: Words of characters that no normalisation joins or splits, and how the vocabulary cuts them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_LOWER = re.compile(r"[!-@\[-~ß-öø-ÿ]+").fullmatch
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 #: Rows a task sends at once.
 ROWS = 10_000
@@ -77,28 +79,27 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.closing = () if closing is None else (closing,)
+        self.closing = array("I", [] if closing is None else [closing]).tobytes()
         self.words = vocabulary.Recent(self._words, MEMORY)
         self.pieces = vocabulary.Recent(self._pieces, MEMORY)
 
-    def _pieces(self, pieces: list[str]) -> Iterator[tuple[int, ...]]:
-        return (tuple([t.id for t in self.model.tokenize(p.translate(vocabulary.SPELLED))]) for p in pieces)
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        spell, split, whole = vocabulary.SPELLED, self.model.tokenize, self.library.encode
+        return [
+            array("I", [t.id for t in split(p.translate(spell))] if _LOWER(p) and "<|" not in p else whole(p, add_special_tokens=False).ids).tobytes()
+            for p in pieces
+        ]
 
-    def _words(self, words: list[str]) -> Iterator[tuple[int, ...]]:
-        plain = [bool(_PLAIN(w)) and "<|" not in w for w in words]
-        cut = self.pieces.each([_PIECE.findall(w.lower()) for w, p in zip(words, plain) if p])
-        for word, known in zip(words, plain):
-            if known:
-                ids = next(cut)
-                yield ids[0] if len(ids) == 1 else tuple(chain.from_iterable(ids))
-            else:
-                yield tuple(self.library.encode(word, add_special_tokens=False).ids)
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        cut = [_PIECE.findall(w.lower()) if _PLAIN(w) and "<|" not in w else [w] for w in words]
+        ids = iter(next(self.pieces.each([list(chain.from_iterable(cut))])))
+        return (next(ids) if len(pieces) == 1 else b"".join(islice(ids, len(pieces))) for pieces in cut)
 
     def ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of every text, with the closing one."""
         for some in vocabulary.slices(texts, SLICE):
             for found in self.words.each([_BLANK.split(t) if _ODD(t) else t.split() for t in some]):
-                yield np.array([*chain.from_iterable(found), *self.closing], np.uint32)
+                yield np.frombuffer(b"".join([*found, self.closing]), np.uint32)
 
 
 @cache

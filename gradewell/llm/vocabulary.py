@@ -58,15 +58,15 @@ class Recent:
         """For every list the results of its words; ``make`` gives those of all new words at once."""
         found = [list(map(self.new.get, words)) for words in lists]
         missing = {w for words, values in zip(lists, found) if None in values for w, v in zip(words, values) if v is None}
-        before = {w: v for w in missing if (v := self.old.get(w)) is not None}
-        fresh = sorted(missing - before.keys())
-        before.update(zip(fresh, self.make(fresh)))
-        if len(self.new) + len(before) > self.half:
+        before = {w: v for w in missing if (v := self.old.get(w)) is not None} if self.old else {}
+        if len(self.new) + len(missing) > self.half:
             self.old, self.new = self.new, {}
-        if len(before) <= self.half:
-            self.new.update(before)
+        known = self.new if len(missing) <= self.half else {}
+        known.update(before)
+        fresh = [w for w in missing if w not in before] if before else list(missing)
+        known.update(zip(fresh, self.make(fresh)))
         for words, values in zip(lists, found):
-            yield [before[w] if v is None else v for w, v in zip(words, values)] if None in values else values
+            yield [known[w] if v is None else v for w, v in zip(words, values)] if None in values else values
 
 
 def slices(texts: Iterable[str], most: int) -> Iterator[list[str]]:

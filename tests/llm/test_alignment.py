@@ -76,7 +76,7 @@ def test_parts_are_aligned_as_whole_texts(libraries):
             continue
         n_a, n_b, groups, links = expected
         assert found[:4] == (n_a, n_b, len(groups), ";".join(groups)), text
-        assert Counter(dict(zip(found[4], found[5]))) == Counter(a << 32 | b for a, b in links)
+        assert Counter(dict(zip(found[4].tolist(), found[5].tolist()))) == Counter(a << 32 | b for a, b in links)
     assert 0 < lost < len(texts) / 2
 
 
