@@ -2,70 +2,26 @@
 
 from __future__ import annotations
 
-#: Capped water-filling as the loop it is defined by (a recursive query), then the seeded systematic sample.
-MIX_SOURCES = r"""
-WITH RECURSIVE sized AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-           md5('20|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS tie
-    FROM documents
-),
-totals AS (
-    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs,
-           list_extract([5.0, 2.0, 1.0], CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER))::DOUBLE AS weight
-    FROM sized GROUP BY source
-),
-filled AS (
-    SELECT 0 AS step, source, source_size, n_docs, weight, false AS clamped,
-           weight * sum(source_size) OVER () / sum(weight) OVER () AS target
-    FROM totals
-    UNION ALL
-    SELECT step + 1, source, source_size, n_docs, weight, clamped OR target > 3.0 * source_size,
-           CASE WHEN clamped OR target > 3.0 * source_size THEN 3.0 * source_size
-                ELSE weight * ((sum(source_size) OVER () - sum(CASE WHEN clamped OR target > 3.0 * source_size THEN 3.0 * source_size ELSE 0 END) OVER ())
-                     / nullif(sum(CASE WHEN clamped OR target > 3.0 * source_size THEN 0 ELSE weight END) OVER (), 0)) END
-    FROM filled WHERE step < (SELECT count(*) FROM totals)
-),
-plan AS (
-    SELECT source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-           greatest(1, CAST(ceil(n_docs / 10000.0) AS BIGINT)) AS n_slices
-    FROM filled WHERE step = (SELECT max(step) FROM filled)
-),
-placed AS (
-    SELECT s.doc_id, s.size, p.source_size, p.target, p.source, floor(rate) AS whole, rate - floor(rate) AS part, slice,
-           row_number() OVER (PARTITION BY p.source, slice ORDER BY s.size, tie) AS place,
-           CAST('0x' || substr(md5('20|' || coalesce(p.source, '') || '|' || slice), 1, 8) AS BIGINT) / 4294967296.0 AS seeded
-    FROM (SELECT s.*, CAST('0x' || substr(tie, 9, 8) AS BIGINT) AS number FROM sized s) s
-    JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
-    CROSS JOIN LATERAL (SELECT number % n_slices AS slice)
-),
-tried AS (
-    SELECT source, slice, k, first(((seeded + k / 16.0) % 1.0)) AS start,
-           abs(sum(size * (floor(place * part + (seeded + k / 16.0) % 1.0) - floor((place - 1) * part + (seeded + k / 16.0) % 1.0)))
-               - any_value(part) * sum(size)) AS miss
-    FROM placed, range(16) t(k) GROUP BY source, slice, k
-),
-best AS (SELECT source, slice, arg_min(start, (miss, k)) AS start FROM tried GROUP BY source, slice)
-SELECT p.doc_id, p.size, p.source_size, p.target,
-       CAST((whole + floor(place * part + start) - floor((place - 1) * part + start)) * size AS BIGINT) AS taken
-FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source AND p.slice = b.slice
-"""
-
 PREFERENCE_FORMAT = r"""
 WITH t AS (
     SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k, role, text
     FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)
 ),
 answers AS (SELECT conv_id, max(k) AS last, arg_max(text, k) AS text FROM t WHERE role = 'assistant' GROUP BY conv_id),
-pairs AS (SELECT a.conv_id, a.last, b.text FROM answers a JOIN answers b ON b.conv_id = xor(a.conv_id, 1)),
+pairs AS (
+    SELECT c.conv_id, a.last, b.text, b.conv_id IS NOT NULL AS has_other
+    FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN answers a USING (conv_id) LEFT JOIN answers b ON b.conv_id = xor(c.conv_id, 1)
+),
 sides AS (
-    SELECT 'c' AS side, t.conv_id, k, role, t.text FROM t JOIN pairs USING (conv_id)
+    SELECT 'c' AS side, conv_id, k, role, text FROM t
     UNION ALL
-    SELECT 'r', t.conv_id, k, role, CASE WHEN k = last THEN p.text ELSE t.text END FROM t JOIN pairs p USING (conv_id)
+    SELECT 'r', t.conv_id, k, role, CASE WHEN k = last THEN p.text ELSE t.text END
+    FROM t JOIN pairs p USING (conv_id) WHERE last IS NULL OR has_other OR k < last
 ),
 shared AS (
-    SELECT p.conv_id, coalesce(min(c.k) FILTER (c.text IS DISTINCT FROM r.text) - 1, max(c.k)) AS n
-    FROM pairs p JOIN sides c ON c.side = 'c' AND c.conv_id = p.conv_id
-    JOIN sides r ON r.side = 'r' AND r.conv_id = c.conv_id AND r.k = c.k GROUP BY p.conv_id
+    SELECT c.conv_id, coalesce(min(c.k) FILTER (r.k IS NULL OR c.text IS DISTINCT FROM r.text) - 1, max(c.k)) AS n
+    FROM sides c LEFT JOIN sides r ON r.side = 'r' AND r.conv_id = c.conv_id AND r.k = c.k
+    WHERE c.side = 'c' GROUP BY c.conv_id
 ),
 rendered AS (
     SELECT side, s.conv_id, k, n, role, '<|' || coalesce(role, '') || '|>' || chr(10) AS head, coalesce(text, '') || '<|end|>' AS body
@@ -84,8 +40,9 @@ joined AS (
                     FILTER (k > n AND role = 'assistant'), '') AS mask
     FROM placed GROUP BY side, conv_id
 )
-SELECT c.conv_id, c.n AS prompt_turns, c.prompt, c.rest AS chosen, c.mask AS chosen_mask, r.rest AS rejected, r.mask AS rejected_mask
-FROM joined c JOIN joined r ON c.side = 'c' AND r.side = 'r' AND c.conv_id = r.conv_id
+SELECT c.conv_id, c.n AS prompt_turns, c.prompt, c.rest AS chosen, c.mask AS chosen_mask, coalesce(r.rest, '') AS rejected,
+       coalesce(r.mask, '') AS rejected_mask
+FROM joined c LEFT JOIN joined r ON r.side = 'r' AND c.conv_id = r.conv_id WHERE c.side = 'c'
 """
 
 LINE_DEDUP = r"""
@@ -197,7 +154,6 @@ STATEMENTS: dict[str, str] = {
     "op1_url_filter": URL_FILTER,
     "op4_preference_format": PREFERENCE_FORMAT,
     "op5_line_dedup": LINE_DEDUP,
-    "op6_mix_sources": MIX_SOURCES,
     "op7_decontamination": DECONTAMINATION,
     "op9_quality_rules": QUALITY_RULES,
 }

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from collections import Counter
 
 from helpers import odd_documents
@@ -91,3 +93,41 @@ def test_target_is_met_where_one_document_holds_half_the_words(spark):
 def test_target_is_met_by_sources_of_ten_documents(spark, small_folder):
     found = relative_misses(mixing.mix_plan(spark.read.parquet(f"{small_folder}/documents.parquet"), (5, 2, 1), seed=20))
     assert len(found) == 20 and max(found.values()) < 0.03, found
+
+
+def plain_targets(sizes, weights, most):
+    """The loop that water-filling is defined by; sizes by source in order."""
+    total, clamped = sum(sizes), set()
+    while True:
+        rest = total - sum(most * sizes[k] for k in clamped)
+        share = sum(weights[k] for k in range(len(sizes)) if k not in clamped)
+        target = [most * s if k in clamped else weights[k] * rest / share for k, s in enumerate(sizes)]
+        over = {k for k, t in enumerate(target) if t > most * sizes[k] and k not in clamped}
+        if not over:
+            return target
+        clamped |= over
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_registered_query_meets_its_targets(spark, small_folder, folder):
+    import re
+    from pathlib import Path
+
+    from gradewell.llm import queries
+
+    folder = str(Path(small_folder).parent / folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "text").toPandas()
+    docs["words"] = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in docs.text]
+    found = queries.QUERIES["op6_mix_sources"](spark, folder).toPandas()
+    assert sorted(zip(found.doc_id, found["size"])) == sorted(zip(docs.doc_id, docs.words))
+    whole = found.merge(docs[["doc_id", "source"]], on="doc_id")
+    by_source = whole.groupby("source", dropna=False).agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
+    by_source = by_source.sort_index()  # code points, null last
+    weights = [queries.SOURCE_WEIGHTS[k % 3] for k in range(len(by_source))]
+    assert by_source.target.tolist() == pytest.approx(plain_targets(by_source["size"].tolist(), weights, queries.MAX_EPOCHS))
+    assert (abs(by_source.taken - by_source.target) <= 0.02 * by_source.target + 1).all()
+    copies = whole.taken / whole["size"].clip(lower=1)
+    rate = whole.target / whole.source_size
+    assert ((copies == rate.floordiv(1)) | (copies == rate.floordiv(1) + 1) | (whole["size"] == 0)).all() and copies.max() <= 3
+    again = queries.QUERIES["op6_mix_sources"](spark, folder).toPandas()
+    assert sorted(zip(again.doc_id, again.taken)) == sorted(zip(found.doc_id, found.taken))
