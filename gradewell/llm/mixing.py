@@ -14,8 +14,6 @@ Built from DataFrame functions only.
   the one of a few seeded starts that comes nearest.  A large source is cut into slices by a seeded hash, each sampled
   alone, so that none is sorted in one task.  Some ``SEEDED`` documents of every source are kept out of it and chosen
   last, as the large ones are; they make up for what the slices missed.
-* ``sampled_only`` leaves the choice to the systematic sample alone; a source in which few documents hold most words
-  may then miss its target by a large part.
 
 Results that are defined: a null or empty text has size 0 and is taken 0 words; a null source is a source of its
 own, after all others; sources without words have target 0; repeated rows are documents of their own; an empty
@@ -83,7 +81,6 @@ def unit(text: Column) -> Column:
 
 def repetitions(
     sized: DataFrame, weights: Sequence[float], max_epochs: float, seed: int, rows_per_slice: int = ROWS_PER_SLICE,
-    sampled_only: bool = False,
 ) -> DataFrame:
     """``sized`` (source, size, tie, more) with source_size, target, copies and taken."""
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows"))
@@ -98,7 +95,7 @@ def repetitions(
     )
     number = F.conv(F.substring("tie", 9, 8), 16, 10).cast("bigint")
     rows = sized.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_slice", F.pmod(number, F.col("_slices")))
-    chosen = systematic(rows, seed) if sampled_only else balanced(rows, seed)
+    chosen = balanced(rows, seed)
     return (
         chosen.withColumn("copies", F.floor("_rate") + F.col("_extra"))
         .withColumn("taken", F.col("copies") * F.col("size"))
@@ -222,14 +219,13 @@ def sizes(docs: DataFrame, seed: int, key: str = "doc_id", text: str = "text", s
 def mix_plan(
     docs: DataFrame, weights: Sequence[float], max_epochs: float = 3.0, seed: int = 1,
     key: str = "doc_id", text: str = "text", source: str = "source", rows_per_slice: int = ROWS_PER_SLICE,
-    sampled_only: bool = False,
 ) -> DataFrame:
     """Per document: key, source, size, source_size, target (of its source), copies and taken words.
 
     Texts are read once; their sizes are stored and everything else works on these.
     """
     sized = stored(sizes(docs, seed, key, text, source), "sizes")
-    found = repetitions(sized, weights, max_epochs, seed, rows_per_slice, sampled_only)
+    found = repetitions(sized, weights, max_epochs, seed, rows_per_slice)
     return found.drop("tie").withColumnRenamed("key", key)
 
 

@@ -1,7 +1,7 @@
 """Quality classifier: n-gram indicators scaled by class log-count ratios, then a linear hinge-loss model.
 
-* **Features.**  Lower-cased words, word shapes ("ABC!!" is "X!") and pairs of neighbouring shapes, marked when both
-  words are the same; hashed into ``BUCKETS`` indicators per document.  A word of more than ``PIECE`` characters, as in
+* **Features.**  Lower-cased words and pairs of neighbouring words, word shapes ("ABC!!" is "X!") and pairs of neighbouring
+  shapes, marked when both words are the same; hashed into ``BUCKETS`` indicators per document.  A word of more than ``PIECE`` characters, as in
   text without blanks, is read as its consecutive pieces, so that all of it gives features.
 * **Naive Bayes.**  Documents with a feature are counted per class over *all* labelled rows that are not held out;
   a feature's scale is the log of the ratio of its smoothed shares.
@@ -72,8 +72,10 @@ def features(text: str, codes: Codes) -> np.ndarray:
     same = (code[1:] == code[:-1]).astype(np.uint64)
     pairs = (shapes[:-1] * np.uint64(0x9E3779B1) + shapes[1:] * np.uint64(2) + same) * np.uint64(0xD6E8FEB86659FD93)
     single = shapes * np.uint64(0xD6E8FEB86659FD93)
+    word = (code >> 32).astype(np.uint64)
+    following = (word[:-1] * np.uint64(BUCKETS) + word[1:] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     top = np.uint64(64 - BUCKETS.bit_length() + 1)
-    return np.unique(np.concatenate([code >> 32, (single >> top).astype(np.int64), (pairs >> top).astype(np.int64)]))
+    return np.unique(np.concatenate([code >> 32, *((f >> top).astype(np.int64) for f in (single, pairs, following))]))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,7 +9,7 @@ turn do not meet anywhere, as rows are grouped by conversation only.
 
 Results that are defined: turns without a conversation are in none; rows that repeat are one turn; turns of the same
 number are ordered by role and text (null first); a null role or text is rendered as empty, and equals only null;
-equal conversations give two empty completions; a conversation missing on one side gives no pair; an empty table
+equal conversations give two empty completions; an empty table
 gives an empty result.  Other columns of the turns are not read.
 """
 
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradewell.llm.common import field, packed
+from gradewell.llm.common import field, packed, stored
 
 TRAINED_ROLE = "assistant"
 OPEN, AFTER_ROLE, END, AFTER = "<|", "|>\n", "<|end|>", "\n"
@@ -105,14 +105,21 @@ def with_other_answer(own: Column, other: Column) -> Column:
 def mismatched_pairs(turns: DataFrame) -> DataFrame:
     """Pairs from plain conversations: each with itself, but answered as its neighbour's last turn was.
 
-    The neighbour of an even key is the next key, that of an odd one the key before; a conversation without answers,
-    or whose neighbour is missing or has none, makes no pair.
+    The neighbour of an even key is the next key, that of an odd one the key before; keys that are no numbers have none.
+    Every conversation gives a pair: without another answer the rejected side ends before the answer, and a conversation
+    that has no answer itself is paired with itself.
     """
-    own = conversations(turns)
-    other = own.select((F.col("key").bitwiseXOR(F.lit(1).cast("bigint"))).alias("key"), F.col("turns").alias("other"))
-    answered = [F.exists(c, lambda t: t["role"] == TRAINED_ROLE) for c in ("turns", "other")]
-    return (
-        own.join(other, "key")
-        .filter(answered[0] & answered[1])
-        .select(F.col("key").alias("pair"), F.col("turns").alias("chosen"), with_other_answer(F.col("turns"), F.col("other")).alias("rejected"))
+    whole = conversations(turns)
+    answers = F.filter("turns", lambda t: t["role"] == TRAINED_ROLE)
+    own = stored(whole.withColumn("answers", F.slice(answers, -1, 1)).withColumn("answers", F.when(F.size(answers) > 0, F.col("answers"))), "conversations")
+    number = F.col("key").cast("string").try_cast("bigint")
+    number = F.when(number.cast("string") == F.col("key").cast("string"), number)  # "007" is no number
+    other = own.filter("answers IS NOT NULL").select(number.bitwiseXOR(F.lit(1).cast("bigint")).alias("_of"), F.col("answers").alias("other"))
+    last = F.array_max(F.transform("turns", lambda t, k: F.when(t["role"] == TRAINED_ROLE, k)))
+    before = F.slice("turns", F.lit(1), F.coalesce(last, F.lit(0)))
+    rejected = (
+        F.when(F.col("answers").isNull(), F.col("turns"))
+        .when(F.col("other").isNull(), before)
+        .otherwise(with_other_answer(F.col("turns"), F.col("other")))
     )
+    return own.join(other, number == F.col("_of"), "left").select(F.col("key").alias("pair"), F.col("turns").alias("chosen"), rejected.alias("rejected"))

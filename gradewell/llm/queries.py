@@ -59,7 +59,7 @@ def link_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def format_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Prompt and completions of every conversation against the one with its neighbour's answer."""
+    """Prompt and completions of every conversation against itself with its neighbour's answer."""
     pairs = preferences.mismatched_pairs(table(spark, folder, "conversations"))
 
     def spans(mask: str) -> Column:
@@ -82,9 +82,9 @@ def dedup_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Words taken of every document, chosen by the systematic sample alone as the statement has it."""
+    """Words the mix takes of every document."""
     docs = table(spark, folder, "documents")
-    plan = mixing.mix_plan(docs, SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED, sampled_only=True)
+    plan = mixing.mix_plan(docs, SOURCE_WEIGHTS, MAX_EPOCHS, MIX_SEED)
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 

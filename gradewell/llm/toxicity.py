@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +38,6 @@ GRAMS = (3, 4, 5)
 STRETCH = 16
 #: Most labelled rows the model is trained on.
 SAMPLE_ROWS = 4_000
-#: Training leaves out words of fewer texts; scoring uses all words.
-MIN_TEXTS = 3
 #: Rounds in which all stretches take the text's label, and in which only the most toxic one does.
 ROUNDS = (4, 50)
 #: Added to curvatures, relative to the largest.
@@ -84,9 +81,8 @@ class Corpus:
 
     def __init__(self, texts: list[str]) -> None:
         read = [words(t) for t in texts]
-        seen = Counter(w for found in read for w in set(found))
         numbers: dict[str, int] = {}
-        each = [[numbers.setdefault(w, len(numbers)) for w in found if seen[w] >= MIN_TEXTS] for found in read]
+        each = [[numbers.setdefault(w, len(numbers)) for w in found] for found in read]
         bags = [subwords(w) for w in numbers]
         self.bag_sizes = np.array([len(b) for b in bags], np.int64)
         self.bags = np.concatenate(bags) if bags else np.empty(0, np.int64)

@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradewell.llm.common import field, packed, scratch, stored
+from gradewell.llm.common import content_key, field, packed, scratch, stored
 
 #: Labels (a key and a number each) up to this many are sent to every task; more are joined by sorting.
 BROADCAST_ROWS = 500_000
+#: Most bytes of all texts a model is fitted on in one task.
+SAMPLE_BYTES = 64 << 20
 
 
 def fold(key: Column, folds: int) -> Column:
@@ -39,16 +41,23 @@ def labelled(docs: DataFrame, known: DataFrame, key: str, text: str) -> DataFram
     return texts_of(docs, key, text).join(F.broadcast(known) if known.count() <= BROADCAST_ROWS else known, "key")
 
 
-def sample(docs: DataFrame, known: DataFrame, most: int, key: str, text: str) -> DataFrame:
-    """Up to ``most`` labelled documents, half of each class where there are enough, in a fixed pseudo-random choice.
+def sample(docs: DataFrame, known: DataFrame, most: int, key: str, text: str, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """Up to ``most`` labelled texts, half of each class where there are enough, in a fixed pseudo-random choice.
 
-    Keys are chosen first, from the labels alone.  Their list is bounded by ``most``, so it may be sent to every task.
+    Rows of equal key and text are one example, so copies of an id take no more than their share.  Together the texts have at
+    most ``most_bytes``; one of more than a 64th of that is not learnt from.  The rows are chosen without
+    their texts; the list is bounded by ``most``, so it may be sent to every task.
     """
-    halves = [
-        known.filter(F.col("y") == y).orderBy(F.xxhash64("key"), "key").limit(most // 2) for y in (0, 1)
-    ]
-    chosen = stored(halves[0].unionByName(halves[1]), "sample-keys")
-    return texts_of(docs, key, text).join(F.broadcast(chosen), "key")
+    of = ["key", "_h1", "_h2"]
+    slim = labelled(docs, known, key, text).select("key", *content_key(F.col("text")), "y", F.octet_length("text").alias("size"))
+    slim = stored(slim.filter(F.col("size") <= most_bytes // 64).distinct(), "sample-candidates")
+    order = [F.xxhash64(*of), *of]
+    halves = [slim.filter(F.col("y") == y).orderBy(*order).limit(most // 2) for y in (0, 1)]
+    read = Window.partitionBy("y").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    chosen = halves[0].unionByName(halves[1]).withColumn("read", F.sum("size").over(read)).filter(F.col("read") <= most_bytes // 2)
+    chosen = stored(chosen.select(*of, "y"), "sample-keys")
+    texts = texts_of(docs, key, text).select("key", *content_key(F.col("text")), "text")
+    return texts.join(F.broadcast(chosen), of).groupBy(*of).agg(F.first("y").alias("y"), F.first("text").alias("text")).drop("_h1", "_h2")
 
 
 def fit(rows: DataFrame, train: Callable[[pd.DataFrame], bytes]) -> bytes:
@@ -60,7 +69,7 @@ def fit(rows: DataFrame, train: Callable[[pd.DataFrame], bytes]) -> bytes:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         given = list(batches)
         if given:
-            whole = pd.concat(given, ignore_index=True).sort_values("key", ignore_index=True)
+            whole = pd.concat(given, ignore_index=True).sort_values(["key", "text"], ignore_index=True)
             yield pd.DataFrame({"model": [train(whole)]})
 
     path = scratch(rows.sparkSession, "model")

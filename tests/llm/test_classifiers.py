@@ -89,8 +89,7 @@ def test_toxicity_finds_unseen_misspellings(spark):
     assert np.mean([r.predicted == r.toxic for r in held]) > 0.9
 
 
-def test_gradients_are_those_of_the_loss(monkeypatch):
-    monkeypatch.setattr(toxicity, "MIN_TEXTS", 1)
+def test_gradients_are_those_of_the_loss():
     corpus = toxicity.Corpus(["some words here", "other words there again", ""])
     draw = np.random.default_rng(3)
     vectors, layer, bias = draw.normal(size=(toxicity.BUCKETS, 3)), draw.normal(size=(3, 2)), draw.normal(size=2)
@@ -123,7 +122,6 @@ def test_score_does_not_depend_on_where_a_passage_starts():
 
 
 def test_training_sees_the_stretches_that_are_scored(monkeypatch):
-    monkeypatch.setattr(toxicity, "MIN_TEXTS", 1)
     texts = [" ".join(f"w{k * j % 7}" for k in range(n)) for j, n in enumerate((0, 1, 15, 16, 17, 50))]
     corpus = toxicity.Corpus(texts)
     buckets = np.random.default_rng(4).normal(size=toxicity.BUCKETS)
@@ -158,3 +156,59 @@ def test_quality_reads_all_of_a_text_without_blanks(spark):
     docs, known = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, LABELS)
     held = nb_svm.judge(docs, known, "quality", 5, 0, 0.3).filter("held_out").join(known, "doc_id").collect()
     assert area([r.score for r in held], [r.quality for r in held]) > 0.95
+
+
+def labelled_tables(spark, rows, labels):
+    return spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, y int")
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    from gradewell.llm import training
+
+    rows = [(1, f"text number {k}") for k in range(3000)] + [(1, "the same text")] * 3000 + [(k, "x " * 10) for k in range(2, 60)]
+    rows += [(60, "long " * 300_000)]
+    docs, labels = labelled_tables(spark, rows, [(k, k % 2) for k in range(1, 61)])
+    known = training.known_labels(labels, "y", "doc_id", 1_000_003, -5)
+    found = training.sample(docs, known, 40, "doc_id", "text").toPandas()
+    assert len(found) == 40 and found.y.sum() == 20
+    assert not found.duplicated(["key", "text"]).any() and found.text.str.len().max() < 100
+    again = training.sample(docs.repartition(7), known, 40, "doc_id", "text").toPandas()
+    assert sorted(again.itertuples(index=False)) == sorted(found.itertuples(index=False))
+    small = training.sample(docs, known, 40, "doc_id", "text", most_bytes=2000).toPandas()
+    assert 0 < len(small) < 40 and small.text.str.len().sum() <= 2000
+
+
+def test_rare_words_are_learnt_from():
+    from gradewell.llm import toxicity
+
+    corpus = toxicity.Corpus(["once here", "twice here"])
+    assert len(corpus.bag_sizes) == 3 and corpus.sizes.tolist() == [2, 2]
+
+
+def test_ratios_against_plain_counts(spark):
+    import math
+
+    from gradewell.llm import nb_svm
+
+    rows = [("good word here", 1), ("bad word here", 0), ("good good", 1), ("", 0)] * 3
+    ratios, prior = nb_svm.log_count_ratios(spark.createDataFrame(rows, "text string, y int").repartition(3))
+    assert prior == 0.5
+    codes, counts = nb_svm.Codes(), [{}, {}]
+    for text, y in rows:
+        for bucket in nb_svm.features(text, codes).tolist():
+            counts[y][bucket] = counts[y].get(bucket, 0) + 1
+    totals = [nb_svm.BUCKETS + sum(c.values()) for c in counts]
+    for bucket in counts[0].keys() | counts[1].keys():
+        shares = [(1 + c.get(bucket, 0)) / n for c, n in zip(counts, totals)]
+        assert math.isclose(ratios[bucket], math.log(shares[1] / shares[0]), rel_tol=1e-5, abs_tol=1e-6)
+    assert (ratios != 0).sum() <= len(counts[0].keys() | counts[1].keys())
+
+
+def test_documents_that_only_word_pairs_tell_apart():
+    import numpy as np
+
+    from gradewell.llm import nb_svm
+
+    codes = nb_svm.Codes()
+    one, other = (nb_svm.features(t, codes) for t in ("red box green bag", "green box red bag"))
+    assert len(np.setxor1d(one, other)) > 0

@@ -90,3 +90,13 @@ def test_known_lines_are_merged_without_moving_the_runs(spark):
     lines = spark.range(9).selectExpr("id AS h1", "-id AS h2").repartition(4, "h1", "h2")
     plan = lines.join(table.hint("merge"), ["h1", "h2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_files_are_dealt_to_batches_by_name(spark, tmp_path):
+    path = f"{tmp_path}/with blank/ü%20.parquet"
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('line ', id % 7) AS text").repartition(9)
+    docs.write.parquet(path)
+    batches = line_dedup.file_batches(spark, path)
+    assert sum(len(b.inputFiles()) > 0 for b in batches) > 1
+    rows = [r.doc_id for b in batches for r in b.collect()]
+    assert sorted(rows) == list(range(50)) and all(b.columns == ["doc_id", "text"] for b in batches)
