@@ -310,7 +310,7 @@ QUALITY: dict[str, Query] = {
         )
     ),
     "dq_single_credit_award": _on(lambda w: quality.dq_single_credit_award(w.ref("stg_students_with_credits"))),
-    "dq_report": _on(lambda w: quality.report(w.ref, checks.DECLARED)),
+    "dq_report": _on(lambda w: w.report()),
 }
 
 HABITS: dict[str, Query] = {

@@ -1,7 +1,8 @@
 """Declarative data checks.
 
-A single check returns what violates it.  :func:`report` runs a list of checks
-with one pass per table.
+A single check returns what violates it.  :func:`report` runs a list of checks: those that look at one row at a
+time are counted while their table is written (:func:`observed`) and cost no scan afterwards; keys that have to be
+unique or to have a parent are grouped by their own type.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -68,61 +69,66 @@ class Checks:
         return found
 
 
-def _model_report(spark: SparkSession, model: str, df: DataFrame, checks: Checks, table: Callable[[str], DataFrame]) -> DataFrame:
-    """All checks of one table from one pass over it.
+#: Violations of the row checks of one table by (column, check).
+Counts = dict[tuple[str, str], int]
 
-    A row gives one record per violated row check, and one per key that has to be unique or to have a parent.  Records
-    are counted on the map side, so a frequent key is one record per task; parents meet these counts, not the rows.
+
+def row_counts(checks: Checks) -> list[Column]:
+    """One aggregate a row check: the rows that violate it."""
+    return [F.count_if(violated).alias(f"{column} {check}") for column, check, violated in checks.row_conditions()]
+
+
+def _by_check(row: dict) -> Counts:
+    return {tuple(name.split(" ")): n for name, n in row.items()}
+
+
+def observed(df: DataFrame, checks: Checks) -> tuple[DataFrame, Callable[[], Counts]]:
+    """``df`` that counts the violations of its row checks when it is written, and what returns them afterwards.
+
+    The counts are accumulated by the tasks that write, so they cost no pass over the rows.
     """
-    declared: list[tuple[str, str]] = []
-    records: list[Column] = []
-
-    def ask(column: str, check: str, condition: Column, key: Column) -> int:
-        number = len(declared)
-        declared.append((column, check))
-        records.append(F.when(condition, F.struct(F.lit(number).alias("number"), key.cast("string").alias("key"))))
-        return number
-
-    none = F.lit(None).cast("string")
-    for column, check, violated in checks.row_conditions():
-        ask(column, check, violated, none)
-    unique = [ask(c, "unique", F.col(c).isNotNull(), F.col(c)) for c in checks.unique]
-    parents = {ask(c, "relationships", F.col(c).isNotNull(), F.col(c)): p for c, p in checks.parents.items()}
-
-    names = spark.createDataFrame(
-        [(model, c, check, k) for k, (c, check) in enumerate(declared)],
-        "model string, column_name string, check_name string, number int",
-    )
-    counted = df.select(F.inline(F.array_compact(F.array(*records)))).groupBy("number", "key").agg(F.count("*").alias("n"))
-    known = F.lit(False)
-    if parents:
-        keys = reduce(
-            DataFrame.unionByName,
-            (table(p).select(F.lit(k).alias("number"), F.col(key).cast("string").alias("key")) for k, (p, key) in parents.items()),
-        ).distinct()
-        counted = counted.join(keys.withColumn("known", F.lit(True)), ["number", "key"], "left")
-        known = F.coalesce("known", F.lit(False))
-    number = F.col("number")
-    violating = (
-        F.when(number.isin(*unique), (F.col("n") > 1).cast("bigint"))
-        .when(number.isin(*parents), F.when(known, 0).otherwise(F.col("n")))
-        .otherwise(F.col("n"))
-    )
-    found = counted.groupBy("number").agg(F.sum(violating).alias("violations"))
-    violations = F.coalesce("violations", F.lit(0).cast("bigint"))
-    return F.broadcast(names).join(found, "number", "left").select(
-        "model", "column_name", "check_name", violations.alias("violations"),
-        F.when(violations == 0, "pass").otherwise("fail").alias("status"),
-    )
+    metrics = row_counts(checks)
+    if not metrics:
+        return df, dict
+    observation = Observation()
+    return df.observe(observation, *metrics), lambda: _by_check(observation.get)
+
+
+def counted(df: DataFrame, checks: Checks) -> Counts:
+    """The violations of all row checks of a table that was not observed, from one pass."""
+    metrics = row_counts(checks)
+    return _by_check(df.agg(*metrics).first().asDict()) if metrics else {}
+
 
+def _key_checks(model: str, df: DataFrame, checks: Checks, table: Callable[[str], DataFrame]) -> list[DataFrame]:
+    """One row for every check on keys: how many violate it."""
+    found = [(c, "unique", dq_unique(df, c).agg(F.count("*").alias("violations"))) for c in checks.unique]
+    for column, (parent, key) in checks.parents.items():
+        orphans = dq_relationships(df, column, table(parent), key)
+        found.append((column, "relationships", orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))))
+    return [
+        one.select(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(check).alias("check_name"), "violations")
+        for c, check, one in found
+    ]
 
-def report(table: Callable[[str], DataFrame], declared: dict[str, Checks]) -> DataFrame:
-    """Violations per declared check (rows, or keys for the uniqueness check) and whether it passed."""
-    parts = []
+
+def report(
+    table: Callable[[str], DataFrame], declared: dict[str, Checks], counts: Callable[[str], Counts] | None = None
+) -> DataFrame:
+    """Violations per declared check (rows, or keys for the uniqueness check) and whether it passed.
+
+    ``counts`` knows the violations of a table's row checks; without it they are counted now.
+    """
+    known, keys, session = [], [], None
     for model, checks in declared.items():
         df = table(model)
-        parts.append(_model_report(df.sparkSession, model, df, checks, table))
-    return reduce(DataFrame.unionByName, parts)
+        session = df.sparkSession
+        rows = counts(model) if counts else counted(df, checks)
+        known += [(model, column, check, n) for (column, check), n in rows.items()]
+        keys += _key_checks(model, df, checks, table)
+    fixed = session.createDataFrame(known, "model string, column_name string, check_name string, violations bigint")
+    found = reduce(DataFrame.unionByName, keys, fixed)
+    return found.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise("fail"))
 
 
 def summary(found: DataFrame) -> DataFrame:

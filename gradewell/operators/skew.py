@@ -115,6 +115,30 @@ def id_blocks(rows: DataFrame, cell: list[str], row_id: str, hot: DataFrame) ->
     return each.select(*cell, "first", "lo", "hi", "from_id", F.greatest(width, F.lit(1)).alias("width"))
 
 
+#: Ranges of one branch of the search tree; a branch per ``BRANCH`` ranges.
+BRANCH = 32
+
+
+def search_tree(ranges: DataFrame, cell: list[str]) -> DataFrame:
+    """The ranges of every cell (see :func:`id_blocks`) as one row: cell, ``branches`` of up to ``BRANCH`` ranges in order, and
+    the least id of each in ``starts``."""
+    sorted_ranges = F.sort_array(F.collect_list(F.struct("lo", "first", "from_id", "width")))
+    branches = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_ranges") - 1) / BRANCH)), lambda k: F.slice("_ranges", (k * BRANCH + 1).cast("int"), BRANCH)
+    )
+    return (
+        ranges.groupBy(*cell).agg(sorted_ranges.alias("_ranges"))
+        .withColumn("branches", branches)
+        .select(*cell, "branches", F.transform("branches", lambda b: b[0]["lo"]).alias("starts"))
+    )
+
+
+def range_of(row_id: Column, branches: Column, starts: Column) -> Column:
+    """The range that holds an id: its branch, then its place there, at most ``2 * BRANCH`` comparisons for ``MAX_CUTS`` ranges."""
+    branch = F.get(branches, F.size(F.filter(starts, lambda lo: lo <= row_id)) - 1)
+    return F.get(branch, F.size(F.filter(branch, lambda r: r["lo"] <= row_id)) - 1)
+
+
 def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, value: Column, name: str, hot: DataFrame) -> DataFrame:
     """Running sum of ``value`` per ``keys`` in the order (``step``, ``row_id``).
 
@@ -129,14 +153,18 @@ def running_total(rows: DataFrame, keys: list[str], step: str, row_id: str, valu
     zero = F.lit(0).cast("bigint")
     before = Window.unboundedPreceding, -1
 
-    blocks = id_blocks(rows, cell, row_id, hot).select(*(F.col(c).alias(f"_b_{c}") for c in cell), "first", "lo", "hi", "from_id", "width")
+    tree = search_tree(id_blocks(rows, cell, row_id, hot), cell)
+    tree = tree.select(*(F.col(c).alias(f"_b_{c}") for c in cell), "branches", "starts")
     own = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in cell]
+    found = F.when(F.col("starts").isNotNull(), range_of(F.col(row_id), F.col("branches"), F.col("starts")))
+    number = F.col("_range.first") + F.floor((F.col(row_id) - F.col("_range.from_id")) / F.col("_range.width"))
     rows = (
         rows.withColumn("_value", value.cast("bigint"))
-        .join(F.broadcast(blocks), [*own, F.col(row_id).between(F.col("lo"), F.col("hi"))], "left")
-        .withColumn("_hot", F.col("first").isNotNull())
-        .withColumn("_block", F.coalesce(F.col("first") + F.floor((F.col(row_id) - F.col("from_id")) / F.col("width")), zero))
-        .drop(*blocks.columns)
+        .join(F.broadcast(tree), own, "left")
+        .withColumn("_range", found)
+        .withColumn("_hot", F.col("_range").isNotNull())
+        .withColumn("_block", F.coalesce(number, zero))
+        .drop(*tree.columns, "_range")
     )
 
     cell_sums = rows.groupBy(*cell).agg(F.sum("_value").alias("_sum"))

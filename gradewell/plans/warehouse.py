@@ -15,9 +15,9 @@ from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradewell.operators import cleaning, dimensions, enrichment, fact
+from gradewell.operators import cleaning, dimensions, enrichment, fact, quality
 from gradewell.operators.skew import ROWS_PER_TASK
-from gradewell.plans import cohorts, fields, modules, programme, progress, students
+from gradewell.plans import checks, cohorts, fields, modules, programme, progress, students
 from gradewell.session import shared_folder
 from gradewell.sources import fixtures
 from gradewell.sources.sinks import write_table
@@ -95,6 +95,7 @@ class Warehouse:
         self.folder = folder or f"{shared_folder(spark)}/gradewell-{uuid.uuid4().hex}"
         self.rows_per_task = rows_per_task
         self.tables: dict[str, DataFrame] = {}
+        self.counts: dict[str, quality.Counts] = {}
         self.lock = threading.RLock()
 
     def path(self, name: str) -> str:
@@ -113,8 +114,39 @@ class Warehouse:
             return self.tables[name]
 
     def _write(self, name: str) -> DataFrame:
-        build = self.raw[name]() if name in self.raw else LAYERS[name](self)
-        return write_table(build, self.path(name))
+        """Build and store a table; the violations of its declared row checks are counted on the way and stored beside it."""
+        build = self.raw[name]() if name in self.raw else MODELS[name](self)
+        declared = checks.DECLARED.get(name)
+        if declared is None or name in self.raw:
+            return write_table(build, self.path(name))
+        build, found = quality.observed(build, declared)
+        table = write_table(build, self.path(name))
+        self._keep(name, found())
+        return table
+
+    def _keep(self, name: str, found: quality.Counts) -> None:
+        self.counts[name] = found
+        rows = [(column, check, n) for (column, check), n in found.items()]
+        kept = self.spark.createDataFrame(rows, "column_name string, check_name string, violations bigint")
+        kept.coalesce(1).write.mode("overwrite").parquet(self.path(f"checks/{name}"))
+
+    def violations(self, name: str) -> quality.Counts:
+        """Violations of a table's declared row checks: known since it was written, here or by an earlier session."""
+        with self.lock:
+            table = self.store(name) if name in KPIS and name not in self.counts else self.ref(name)
+            if name not in self.counts:
+                kept = self._stored(f"checks/{name}")
+                if kept is None:
+                    self._keep(name, quality.counted(table, checks.DECLARED[name]))
+                else:
+                    self.counts[name] = {(r.column_name, r.check_name): r.violations for r in kept.collect()}
+            return self.counts[name]
+
+    def report(self) -> DataFrame:
+        """Every declared check with its violations; only checks on keys read tables."""
+        for name in checks.DECLARED:
+            self.violations(name)
+        return quality.report(self.ref, checks.DECLARED, self.violations)
 
     def _stored(self, name: str) -> DataFrame | None:
         """A table that an earlier session has written completely into this folder."""
@@ -126,7 +158,7 @@ class Warehouse:
         """Write a KPI table as well, and serve it from there."""
         with self.lock:
             if name in KPIS:
-                self.tables[name] = write_table(KPIS[name](self), self.path(name))
+                self.tables[name] = self._write(name)
             return self.ref(name)
 
     def build_all(self) -> None:
@@ -139,6 +171,7 @@ class Warehouse:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
             self.tables.clear()
+            self.counts.clear()
 
     def views(self, prefix: str = "") -> None:
         """Register every model as a session view for SQL users."""

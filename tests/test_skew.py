@@ -101,3 +101,27 @@ def test_running_total_equals_window(spark, rows_per_task, spread):
     expected = df.select("row_id", F.sum("v").over(window).alias("total"))
     assert found.count() == 4000
     assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_a_row_meets_few_ranges(spark):
+    """The ranges of a hot cell lie in branches: one equality join, then a search in two steps."""
+    from gradewell.operators.skew import BRANCH, MAX_CUTS, id_blocks, range_of, search_tree
+
+    rows = spark.range(40_000).select((F.col("id") * 7 % 40_009).alias("row_id"), F.lit(1).alias("k"), F.lit(0).alias("step"))
+    for splits in (1, 2, BRANCH, BRANCH + 1, MAX_CUTS, 5000):
+        hot = spark.createDataFrame([(1, 0, splits)], "k int, step int, splits int")
+        ranges = id_blocks(rows, ["k", "step"], "row_id", hot)
+        tree = search_tree(ranges, ["k", "step"])
+        (one,) = tree.collect()
+        assert len(one.starts) == len(one.branches) <= BRANCH and max(map(len, one.branches)) <= BRANCH
+        found = rows.join(tree, ["k", "step"]).select("row_id", range_of(F.col("row_id"), F.col("branches"), F.col("starts"))["lo"].alias("lo"))
+        plain = rows.join(ranges, F.col("row_id").between(F.col("lo"), F.col("hi"))).select("row_id", "lo")
+        assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
+def test_ranges_are_met_by_equality_alone(spark):
+    df = skewed(spark).select("row_id", "k", "step", (F.col("row_id") % 2).alias("v"))
+    plan = running_total(df, ["k"], "step", "row_id", F.col("v"), "total", hot_steps(df, 40))._jdf.queryExecution().optimizedPlan().toString()
+    assert "starts" in plan
+    joins = [line.replace("<=>", "=") for line in plan.splitlines() if "Join" in line]
+    assert joins and not any(sign in line for line in joins for sign in (">=", "<=", "<", ">"))
