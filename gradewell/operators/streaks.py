@@ -69,6 +69,22 @@ def weekly_completion(events: DataFrame) -> DataFrame:
     return done.withColumn("weekly_rate", F.col("days_done") / 7)
 
 
+def weekly_calendar(events: DataFrame) -> DataFrame:
+    """Done days of every week from a habit's first one to the last week of the data; a week without any is a row of zero.
+
+    Weeks are spread over the span of each habit, so the rows are bounded by the calendar, and meet the done ones by key.
+    """
+    def week(day: Column) -> Column:
+        return F.date_trunc("week", day).cast("date")
+
+    days = completed_days(events)
+    done = days.groupBy(*HABIT, week(F.col("day")).alias("week_start")).agg(F.count("*").alias("days_done"))
+    weeks = F.sequence(F.min("week_start"), week(last_day(days)), F.expr("INTERVAL 7 DAY"))
+    every = done.groupBy(*HABIT).agg(weeks.alias("weeks")).select(*HABIT, F.explode("weeks").alias("week_start"))
+    found = every.join(done, [*HABIT, "week_start"], "left").withColumn("days_done", F.coalesce("days_done", F.lit(0).cast("bigint")))
+    return found.withColumn("weekly_rate", F.col("days_done") / 7)
+
+
 def growth_percent(events: DataFrame, goal: int = GOAL_DAYS) -> DataFrame:
     """Progress towards the goal in percent, at most 100."""
     done = completed_days(events).groupBy(*HABIT).agg(F.count("*").alias("days_done"))

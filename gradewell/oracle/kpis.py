@@ -1,7 +1,8 @@
 """KPI tables in SQL, in fan-out form where the definition fans out.
 
 Grades are summed as whole tenths (``g10``), so that both engines divide the
-same integers.
+same integers; percentages start from ``1e2``, which is a double where ``100.0``
+would be a decimal.
 """
 
 TABLES = {

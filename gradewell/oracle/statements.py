@@ -19,7 +19,7 @@ def _violations(model: str, column: str, check: str, argument) -> str:
     if check == "between":
         return f"SELECT count(*) FROM {model} WHERE {column} < {argument[0]} OR {column} > {argument[1]}"
     parent, key = argument
-    return f"SELECT count(*) FROM {model} WHERE {column} NOT IN (SELECT {key} FROM {parent})"
+    return f"SELECT count(*) FROM {model} c WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
 
 
 def _report(declared: dict[str, tuple]) -> str:
@@ -213,7 +213,7 @@ UNION ALL SELECT 'module_with_differing_credits', count(*) FROM (SELECT 1 FROM d
     "dq_not_null": "SELECT attempt_id, student_id, module_number FROM stg_students_with_credits WHERE exam_status IS NULL",
     "dq_unique": "SELECT module_id, count(*) AS n_rows FROM dim_modul GROUP BY module_id HAVING count(*) > 1",
     "dq_accepted_values": "SELECT exam_annotation, count(*) AS n_rows FROM stg_students_with_credits WHERE exam_annotation NOT IN ('anerkannt', 'krank') GROUP BY exam_annotation",
-    "dq_relationships": "SELECT module_number, count(*) AS n_rows FROM stg_students_clean WHERE module_number NOT IN (SELECT module_id FROM dim_modul) GROUP BY module_number",
+    "dq_relationships": "SELECT module_number, count(*) AS n_rows FROM stg_students_clean c WHERE module_number IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_modul p WHERE p.module_id = c.module_number) GROUP BY module_number",
     "dq_between": "SELECT attempt_id, tries_count FROM stg_students_with_credits WHERE tries_count < 1 OR tries_count > 20",
     "dq_single_credit_award": "SELECT student_id, module_number, count(*) AS awards FROM stg_students_with_credits WHERE credits_earned > 0 GROUP BY ALL HAVING count(*) > 1",
     "dq_report": _report(CHECKS),
@@ -226,5 +226,11 @@ UNION ALL SELECT 'module_with_differing_credits', count(*) FROM (SELECT 1 FROM d
         CAST(count(*) AS DOUBLE) / ((SELECT max(day) FROM habit_days) - min(day) + 1) AS completion_rate FROM habit_days GROUP BY ALL""",
     "weekly_completion": """SELECT user_id, event_type, CAST(date_trunc('week', day) AS DATE) AS week_start, count(*) AS days_done, CAST(count(*) AS DOUBLE) / 7 AS weekly_rate
         FROM habit_days GROUP BY ALL""",
+    "weekly_calendar": """SELECT s.user_id, s.event_type, CAST(w AS DATE) AS week_start, count(day) AS days_done, CAST(count(day) AS DOUBLE) / 7 AS weekly_rate
+        FROM (SELECT user_id, event_type, unnest(weeks) AS w
+              FROM (SELECT user_id, event_type, generate_series(date_trunc('week', min(day)), date_trunc('week', (SELECT max(day) FROM habit_days)), INTERVAL 7 DAY) AS weeks
+                    FROM habit_days GROUP BY user_id, event_type)) s
+        LEFT JOIN habit_days d ON d.user_id = s.user_id AND d.event_type = s.event_type AND date_trunc('week', d.day) = w
+        GROUP BY s.user_id, s.event_type, w""",
     "growth_percent": """SELECT user_id, event_type, count(*) AS days_done, least(1e2, 1e2 * count(*) / 66) AS growth_percent FROM habit_days GROUP BY ALL""",
 }

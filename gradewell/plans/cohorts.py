@@ -1,48 +1,21 @@
 """KPI table per intake year.
 
 The definition joins every attempt with all catalogue rows of its module.  Here
-each attempt carries that number and its credits as weights instead
-(``catalogue_weights``), and attempts are first summed per student and grade, so
-neither the fan-out nor a large cohort ever meets in one task.
+each attempt carries that number and its credits as weights instead, and attempts
+are summed per student first (``operators.summary``), so neither the fan-out nor
+a large cohort ever meets in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, percent, r, tenths
-from gradewell.plans.modules import FINAL_TRY, catalogue_weights
+from gradewell.operators.summary import grade_rows
 from gradewell.plans.progress import TERM_CREDITS, TOLERANCE, term_credits
 
 
-NOT_PASSED_GRADE = 5
-
-
-def thesis_failed_for_good() -> Column:
-    return (F.col("module_id") == t.THESIS) & (F.col("passed_flag") == 0) & (F.col("tries_count") >= FINAL_TRY)
-
-
-def thesis_passed() -> Column:
-    return (F.col("module_id") == t.THESIS) & (F.col("passed_flag") == 1)
-
-
-def graded_thesis() -> Column:
-    """A thesis with a grade other than the failing one."""
-    return (F.col("module_id") == t.THESIS) & (F.col("grade_numeric") != NOT_PASSED_GRADE)
-
-
-def student_milestones(fact: DataFrame) -> DataFrame:
-    """Thesis outcome and attempts that were no pass, per student with attempts."""
-    return fact.groupBy("student_id").agg(
-        F.max(thesis_passed()).alias("degree"),
-        F.max(F.coalesce(graded_thesis(), F.lit(False))).alias("graded_degree"),
-        F.max(thesis_failed_for_good()).alias("failed_for_good"),
-        F.sum(flag(F.col("passed_flag") == 0)).alias("failed_attempts"),
-    )
-
-
 def cohort_ontrack(fact: DataFrame, students: DataFrame) -> DataFrame:
     """Terms on track and all terms per intake year."""
     copies = students.groupBy("year_of_matriculation", "student_id").agg(F.count("*").alias("copies"))
@@ -58,40 +31,42 @@ def cohort_ontrack(fact: DataFrame, students: DataFrame) -> DataFrame:
     )
 
 
-def cohort_grades(fact: DataFrame, students: DataFrame, modules: DataFrame) -> DataFrame:
+def cohort_grades(reached: DataFrame) -> DataFrame:
     """Mean and median grade per intake year, weighted by the catalogue rows of the module."""
-    weights = catalogue_weights(modules)
-    per_grade = (
-        fact.filter(F.col("grade_numeric").isNotNull())
-        .join(weights, "module_id")
-        .groupBy("student_id", "grade_numeric")
-        .agg(F.sum("n_rows").alias("weight"), F.sum("credit_sum").alias("credits"))
-    )
     per_cohort = (
-        per_grade.join(students.select("student_id", "year_of_matriculation"), "student_id")
-        .groupBy("year_of_matriculation", "grade_numeric")
-        .agg(F.sum("weight").alias("weight"), F.sum("credits").alias("credits"))
+        grade_rows(reached, "year_of_matriculation", "copies")
+        .filter(F.col("grade").isNotNull() & F.col("weight").isNotNull())
+        .groupBy("year_of_matriculation", "grade")
+        .agg(
+            F.sum(F.col("weight") * F.col("copies")).alias("weight"),
+            F.sum(F.col("catalogue_credits") * F.col("copies")).alias("credits"),
+        )
     )
-    grade = F.col("grade_numeric")
+    grade = F.col("grade")
     return per_cohort.groupBy("year_of_matriculation").agg(
         r(mean_grade(F.sum(tenths(grade) * F.col("credits")), F.sum("credits")), 2).alias("weighted_avg_grade"),
         F.percentile(grade, 0.5, F.col("weight")).alias("median_grade"),
     )
 
 
-def cohort_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame) -> DataFrame:
-    per_student = students.groupBy("year_of_matriculation", "student_id").agg(F.max("inactivity_flag").alias("inactive"))
-    reached = per_student.join(student_milestones(fact), "student_id", "left")
+def cohort_kpi(summary: DataFrame, students: DataFrame) -> DataFrame:
+    """One row per intake year, from one row per student; the attempts are not read again."""
+    per_student = students.groupBy("student_id", "year_of_matriculation").agg(
+        F.max("inactivity_flag").alias("inactive"), F.count("*").alias("copies")
+    )
+    reached = per_student.join(summary, "student_id", "left")
+    on_track = F.filter("terms", lambda one: F.abs(one["credits"] * F.col("copies") - TERM_CREDITS) <= TOLERANCE)
     rates = reached.groupBy("year_of_matriculation").agg(
         F.count("student_id").alias("enrollments"),
         F.sum(flag(F.col("degree"))).alias("degrees"),
         F.sum(flag(F.coalesce("failed_for_good", F.lit(False)) | F.col("inactive"))).alias("dropouts"),
         r(F.sum("failed_attempts") / F.nullif(F.count("failed_attempts"), F.lit(0)), 2).alias("avg_failed_attempts"),
+        F.sum(F.when(F.col("terms").isNotNull(), F.size(on_track))).alias("ontrack_terms"),
+        F.sum(F.when(F.col("terms").isNotNull(), F.size("terms"))).alias("total_terms"),
     )
     year = "year_of_matriculation"
     return (
-        rates.join(cohort_grades(fact, students, modules), year, "left")
-        .join(cohort_ontrack(fact, students), year, "left")
+        rates.join(cohort_grades(reached), year, "left")
         .select(
             F.col(year).alias("intake_year"),
             "enrollments",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, percent, r, ratio, tenths
-from gradewell.plans.modules import catalogue_weights
+from gradewell.operators.summary import catalogue_weights
 
 
 def _decided(enriched: DataFrame) -> DataFrame:

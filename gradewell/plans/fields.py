@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, r, ratio
-from gradewell.plans.cohorts import thesis_failed_for_good
+from gradewell.operators.summary import thesis_failed_for_good
 from gradewell.plans.progress import passed_credits, passed_points
 
 # Weights, in tenths, of this row and the two before it in the smoothed enrolments.

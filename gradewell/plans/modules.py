@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, percent, r, ratio, tenths
-
-FINAL_TRY = 3
+from gradewell.operators.summary import FINAL_TRY
 
 
 def module_mark_kpi(fact: DataFrame) -> DataFrame:
@@ -139,8 +138,3 @@ def modul_kpi(fact: DataFrame, enriched: DataFrame, modules: DataFrame) -> DataF
         )
         .orderBy("module_id")
     )
-
-
-def catalogue_weights(modules: DataFrame) -> DataFrame:
-    """Catalogue rows and credits per module: what a join on the module id multiplies by."""
-    return modules.groupBy("module_id").agg(F.count("*").alias("n_rows"), F.sum("credits").alias("credit_sum"))

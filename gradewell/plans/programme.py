@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gradewell.functions.numeric import flag, mean_grade, percent, r, ratio, tenths
-from gradewell.plans.cohorts import graded_thesis, student_milestones
-from gradewell.plans.modules import catalogue_weights
-from gradewell.plans.progress import graded_pass
+from gradewell.operators.summary import grade_rows, graded_thesis
 
 STANDARD_TERMS = 4
 
@@ -43,38 +41,29 @@ def students_in_standard_period(fact: DataFrame, students: DataFrame) -> DataFra
     return students_with_degree(fact).join(in_time, "student_id", "left_semi")
 
 
-def weighted_grades(fact: DataFrame, students: DataFrame, modules: DataFrame) -> DataFrame:
+def weighted_grades(summary: DataFrame, copies: DataFrame) -> DataFrame:
     """Rows, weights and credit-weighted sums per grade over the whole programme."""
-    copies = students.groupBy("student_id").agg(F.count("*").alias("copies"))
-    per_student = (
-        fact.join(catalogue_weights(modules), "module_id")
-        .groupBy("student_id", "grade_numeric")
-        .agg(
-            F.sum("n_rows").alias("weight"),
-            F.sum(F.when(graded_pass(), F.col("credits_earned") * F.col("n_rows"))).alias("credits"),
-        )
-    )
     return (
-        per_student.join(copies, "student_id")
-        .groupBy("grade_numeric")
+        grade_rows(summary).filter(F.col("weight").isNotNull()).join(copies, "student_id")
+        .groupBy(F.col("grade").alias("grade_numeric"))
         .agg(
             F.sum(F.col("weight") * F.col("copies")).alias("weight"),
-            F.sum(F.col("credits") * F.col("copies")).alias("credits"),
+            F.sum(F.col("passed_weighted") * F.col("copies")).alias("credits"),
         )
     )
 
 
-def studiengang_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame, progress: DataFrame) -> DataFrame:
-    """One row for the programme; the fact is read once for what is counted per student, once for grades."""
+def studiengang_kpi(summary: DataFrame, students: DataFrame, progress: DataFrame) -> DataFrame:
+    """One row for the programme, from one row per student; the attempts are not read again."""
     listed = students.groupBy("student_id").agg(
         F.max("inactivity_flag").alias("inactive"),
         F.max(F.col("terms_taken_total_count") <= STANDARD_TERMS).alias("timely"),
         F.lit(True).alias("listed"),
+        F.count("*").alias("copies"),
     )
     known = F.col("listed")
     counts = (
-        student_milestones(fact)
-        .join(listed, "student_id", "left")
+        summary.join(listed, "student_id", "left")
         .agg(
             F.count_if(known).alias("present"),
             F.sum(F.when(known, flag(F.col("degree")))).alias("degrees"),
@@ -84,7 +73,7 @@ def studiengang_kpi(fact: DataFrame, students: DataFrame, modules: DataFrame, pr
         )
     )
     grade, weight = F.col("grade_numeric"), F.col("weight")
-    grades = weighted_grades(fact, students, modules).agg(
+    grades = weighted_grades(summary, listed.select("student_id", "copies")).agg(
         r(mean_grade(F.sum(tenths(grade) * F.col("credits")), F.sum(F.when(grade.isNotNull(), F.col("credits")))), 2).alias("mean"),
         F.percentile(grade, 0.5, F.when(grade.isNull(), 0).otherwise(weight)).alias("median"),
         F.sum(weight).alias("joined_rows"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gradewell import types as t
 from gradewell.functions.numeric import flag, mean_grade, percent, r, tenths
+from gradewell.operators.summary import grade_rows
 
 SCORES = (
     "predicted_has_passed_degree", "has_passed_degree_confidence", "predicted_inactivity",
@@ -43,20 +44,24 @@ def student_grades(fact: DataFrame) -> DataFrame:
     )
 
 
-def student_kpi(fact: DataFrame) -> DataFrame:
-    rollup = student_module_rollup(fact)
-    modules, passed = F.count("*"), F.sum("module_passed")
-    repeated = F.sum(flag(F.col("attempts") > 1))
-    totals = rollup.groupBy("student_id").agg(
-        modules.alias("modules_count"),
-        passed.alias("modules_passed_count"),
-        F.sum("failed_attempts").alias("failed_attempts_count"),
-        repeated.alias("modules_failed_count"),
-        F.sum("credits_count_temp").alias("credits_total_count"),
+def student_kpi(summary: DataFrame) -> DataFrame:
+    """One row per student, from the summary of the attempts; grouped and joined where its buckets are."""
+    points = tenths(F.col("grade")) * F.col("credits")
+    grades = grade_rows(summary).filter(F.col("grade").isNotNull()).groupBy("student_id").agg(
+        r(mean_grade(F.sum(points), F.sum("credits")), 2).alias("weighted_avg_grade"),
+        F.percentile("grade", 0.5, F.col("n")).alias("median_grade"),
+    )
+    totals = summary.select(
+        "student_id",
+        F.col("modules").alias("modules_count"),
+        F.col("modules_passed").alias("modules_passed_count"),
+        F.col("failed_attempts").alias("failed_attempts_count"),
+        F.col("modules_repeated").alias("modules_failed_count"),
+        F.col("credits").alias("credits_total_count"),
     )
     count = F.col("modules_count")
     pass_share = F.lit(100.0) * F.col("modules_passed_count") / count
-    return totals.join(student_grades(fact), "student_id", "left").select(
+    return totals.join(grades.hint("merge"), "student_id", "left").select(
         *totals.columns,
         "weighted_avg_grade",
         "median_grade",

@@ -15,12 +15,12 @@ from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gradewell.operators import cleaning, dimensions, enrichment, fact, quality
+from gradewell.operators import cleaning, dimensions, enrichment, fact, quality, summary
 from gradewell.operators.skew import ROWS_PER_TASK
 from gradewell.plans import checks, cohorts, fields, modules, programme, progress, students
 from gradewell.session import shared_folder
 from gradewell.sources import fixtures
-from gradewell.sources.sinks import write_table
+from gradewell.sources.sinks import write_bucketed, write_table
 
 Build = Callable[["Warehouse"], DataFrame]
 
@@ -53,7 +53,8 @@ LAYERS: dict[str, Build] = {
     ),
     "fact_kpi": lambda w: fact.fact_kpi(w.ref("stg_students_with_credits"), w.ref("dim_modul"), w.ref("dim_zeit")),
     "study_progress_rows": lambda w: progress.study_progress_rows(w.ref("fact_kpi"), w.ref("dim_students")),
-    "student_kpi": lambda w: students.student_kpi(w.ref("fact_kpi")),
+    "student_summary": lambda w: summary.student_summary(w.ref("fact_kpi"), w.ref("dim_modul"), w.buckets),
+    "student_kpi": lambda w: students.student_kpi(w.ref("student_summary")),
 }
 
 KPIS: dict[str, Build] = {
@@ -66,9 +67,9 @@ KPIS: dict[str, Build] = {
     "study_progress_kpi": lambda w: progress.study_progress_kpi(w.ref("study_progress_rows")),
     "studienrichtung_mark_kpi": lambda w: students.studienrichtung_mark_kpi(w.ref("fact_kpi")),
     "student_kpi_ml": lambda w: students.student_kpi_ml(w.ref("student_kpi"), w.ref("student_ml")),
-    "cohort_kpi": lambda w: cohorts.cohort_kpi(w.ref("fact_kpi"), w.ref("dim_students"), w.ref("dim_modul")),
+    "cohort_kpi": lambda w: cohorts.cohort_kpi(w.ref("student_summary"), w.ref("dim_students")),
     "studiengang_kpi": lambda w: programme.studiengang_kpi(
-        w.ref("fact_kpi"), w.ref("dim_students"), w.ref("dim_modul"), w.ref("study_progress_rows")
+        w.ref("student_summary"), w.ref("dim_students"), w.ref("study_progress_rows")
     ),
     "studiengangsvergleich_kpi": lambda w: fields.studiengangsvergleich_kpi(
         w.ref("fact_kpi"), w.ref("dim_zeit"), w.ref("dim_students")
@@ -76,7 +77,9 @@ KPIS: dict[str, Build] = {
 }
 
 # Stored intermediates that are no table of their own.
-INTERNAL = ("student_profile", "study_progress_rows")
+INTERNAL = ("student_profile", "study_progress_rows", "student_summary")
+#: Tables kept in buckets of a column, sorted by it, for joins and groups that do not move them.
+BUCKETED = {"student_summary": "student_id"}
 MODELS: dict[str, Build] = {**LAYERS, **KPIS}
 
 
@@ -94,6 +97,8 @@ class Warehouse:
         self.scans = frozenset(scans)
         self.folder = folder or f"{shared_folder(spark)}/gradewell-{uuid.uuid4().hex}"
         self.rows_per_task = rows_per_task
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.catalogued: list[str] = []
         self.tables: dict[str, DataFrame] = {}
         self.counts: dict[str, quality.Counts] = {}
         self.lock = threading.RLock()
@@ -116,6 +121,9 @@ class Warehouse:
     def _write(self, name: str) -> DataFrame:
         """Build and store a table; the violations of its declared row checks are counted on the way and stored beside it."""
         build = self.raw[name]() if name in self.raw else MODELS[name](self)
+        if name in BUCKETED:
+            self.catalogued.append(f"gradewell_{name}_{uuid.uuid4().hex[:12]}")
+            return write_bucketed(build, self.catalogued[-1], self.path(name), self.buckets, BUCKETED[name])
         declared = checks.DECLARED.get(name)
         if declared is None or name in self.raw:
             return write_table(build, self.path(name))
@@ -170,6 +178,9 @@ class Warehouse:
         with self.lock:
             path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            for table in self.catalogued:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.catalogued.clear()
             self.tables.clear()
             self.counts.clear()
 

@@ -37,6 +37,21 @@ def read_module_seed(spark: SparkSession, path: str, **options: str) -> DataFram
     return spark.read.csv(path, schema=t.MODULE, header=True, encoding="UTF-8", mode="FAILFAST", **options)
 
 
+def read_module_seed_lines(spark: SparkSession, path: str, **options: str) -> tuple[DataFrame, DataFrame]:
+    """Curriculum rows that parse, and the lines that do not with the file they are in; together they are all lines.
+
+    A line is rejected if a value is not of its type or if it has more or fewer values than there are columns.
+    """
+    header = ",".join(f.name for f in t.MODULE.fields)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = lines.filter((F.trim("value") != "") & (F.translate("value", '"\ufeff ', "") != header))
+    schema = T.StructType([*t.MODULE.fields, T.StructField("line", T.StringType())])
+    how = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "line", **options}
+    parsed = lines.select("file", F.from_csv("value", schema.toDDL(), how).alias("row"))
+    accepted = parsed.filter("row.line IS NULL").select(*(F.col("row").getField(f.name).alias(f.name) for f in t.MODULE.fields))
+    return accepted, parsed.filter("row.line IS NOT NULL").select("file", F.col("row.line").alias("line"))
+
+
 def read_student_ml(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     return conform(spark.read.format(fmt).options(**options).schema(t.STUDENT_ML).load(path), t.STUDENT_ML)
 

@@ -11,6 +11,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str) -> DataFrame:
+    """Store as a catalogue table in ``buckets`` of ``key``, sorted by it; rows should come in as many partitions of it."""
+    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def create_or_replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
     """Create or replace a catalogue table whose files lie in ``path``."""
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)

@@ -9,7 +9,7 @@ from gradewell import types as t
 from gradewell.operators import enrichment, quality, streaks
 from gradewell.oracle.declared import CHECKS
 from gradewell.plans import checks, fields, programme, risk
-from gradewell.plans.cohorts import student_milestones, thesis_failed_for_good
+from gradewell.operators.summary import student_summary, thesis_failed_for_good
 
 
 def literal_programme(small):
@@ -51,7 +51,9 @@ def test_programme_equals_the_cross_join(small):
 
 def test_programme_without_graduates(small):
     fact = small.ref("fact_kpi").filter("module_id <> 'I707'")
-    row = programme.studiengang_kpi(fact, small.ref("dim_students"), small.ref("dim_modul"), small.ref("study_progress_kpi")).first()
+    row = programme.studiengang_kpi(
+        student_summary(fact, small.ref("dim_modul")), small.ref("dim_students"), small.ref("study_progress_kpi")
+    ).first()
     assert row.students_total_count == 0
     assert row.offtrack_rate is not None and row.ontrack_rate is not None
     missing = ("graduation_rate", "dropout_rate", "weighted_avg_program_grade", "median_program_grade", "avg_terms_taken", "master_on_track_percent")
@@ -63,14 +65,58 @@ def test_programme_with_a_single_joined_row(spark, small):
     modules = small.ref("dim_modul").filter("module_id = 'I707'").limit(1)
     fact = spark.createDataFrame(fact.collect(), fact.schema)
     modules = spark.createDataFrame(modules.collect(), modules.schema)
-    row = programme.studiengang_kpi(fact, small.ref("dim_students"), modules, small.ref("study_progress_kpi")).first()
+    row = programme.studiengang_kpi(student_summary(fact, modules), small.ref("dim_students"), small.ref("study_progress_kpi")).first()
     assert row.students_total_count == 1 and row.master_on_track_percent is None
 
 
 def test_cohort_rates_are_complete(small):
     sums = small.ref("cohort_kpi").agg(F.sum("enrollments")).first()[0]
     assert sums == small.ref("dim_students").count()
-    assert student_milestones(small.ref("fact_kpi")).count() <= sums
+    assert small.ref("student_summary").count() <= sums
+
+
+def test_summary_equals_plain_groups(small):
+    """Every part of the summary against a plain grouping of the attempts."""
+    fact, summary = small.ref("fact_kpi"), small.ref("student_summary")
+    terms = summary.select("student_id", F.inline("terms"))
+    plain = fact.groupBy("student_id", F.col("term_counter").alias("term")).agg(F.sum("credits_earned").alias("credits"))
+    assert terms.exceptAll(plain).isEmpty() and plain.exceptAll(terms).isEmpty()
+    weights = small.ref("dim_modul").groupBy("module_id").agg(F.count("*").alias("k"), F.sum("credits").alias("c"))
+    grades = summary.select("student_id", F.inline("grades"))
+    passed = F.when((F.col("passed_flag") == 1) & F.col("grade_numeric").isNotNull(), F.col("credits_earned") * F.col("k"))
+    plain = fact.join(weights, "module_id").groupBy("student_id", F.col("grade_numeric").alias("grade")).agg(
+        F.count("*").alias("n"), F.sum("credits_earned").alias("credits"), F.sum("k").alias("weight"),
+        F.sum("c").alias("catalogue_credits"), F.sum(passed).alias("passed_weighted"),
+    )
+    assert grades.exceptAll(plain).isEmpty() and plain.exceptAll(grades).isEmpty()
+    per_module = fact.groupBy("student_id", "module_id").agg(F.max("passed_flag").alias("p"), F.count("*").alias("n"), F.sum("credits_earned").alias("c"))
+    plain = per_module.groupBy("student_id").agg(
+        F.count("*").alias("modules"), F.sum("p").cast("bigint").alias("modules_passed"), F.count_if(F.col("n") > 1).alias("modules_repeated"), F.sum("c").alias("credits")
+    )
+    found = summary.select("student_id", "modules", F.col("modules_passed").cast("bigint"), "modules_repeated", "credits")
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["cohort_kpi", "studiengang_kpi", "student_kpi"])
+def test_kpis_of_students_read_the_summary_alone(spark, small, name):
+    """No attempt is read, and the buckets of the summary are not moved."""
+    from gradewell.plans.warehouse import MODELS
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small.ref(name)
+        plan = MODELS[name](small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "/fact_kpi" not in plan and "student_summary" in plan
+    above: list[tuple[int, str]] = []
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :|+-*()0123456789"))
+        above = [*(a for a in above if a[0] < depth), (depth, line)]
+        if "student_summary" in line:
+            assert not any("Exchange hashpartitioning(student_id" in text for _, text in above)
+    if name == "student_kpi":
+        assert "Exchange" not in plan
 
 
 def test_progress_invariants(small):
@@ -206,6 +252,8 @@ def test_streaks(spark):
     assert found == {1: (2, 3), 2: (0, 1)}
     rate = {r.user_id: (r.days_done, r.days_in_span) for r in streaks.completion_rate(events).collect()}
     assert rate == {1: (5, 6), 2: (1, 4)}
+    weeks = {(r.user_id, str(r.week_start)): r.days_done for r in streaks.weekly_calendar(events.unionByName(events.filter("user_id = 2").withColumn("ts", F.col("ts") - F.expr("INTERVAL 21 DAY")))).collect()}
+    assert weeks == {(1, "2024-01-01"): 5, (2, "2023-12-11"): 1, (2, "2023-12-18"): 0, (2, "2023-12-25"): 0, (2, "2024-01-01"): 1}
     reached = streaks.streak_milestone(events, (3,)).filter("reached").collect()
     assert [r.user_id for r in reached] == [1]
     assert {r.user_id: r.growth_percent for r in streaks.growth_percent(events, 4).collect()} == {1: 100.0, 2: 25.0}

@@ -101,3 +101,19 @@ def test_changed_input_is_noticed(spark, small_folder, tmp_path):
     assert fixture_warehouse(spark, folder) is first
     read_source(spark, small_folder, "customer").limit(5).toPandas().to_parquet(tmp_path / "customer.parquet")
     assert fixture_warehouse(spark, folder) is not first
+
+
+def test_lines_of_a_seed_that_do_not_parse(spark, small, tmp_path):
+    path = str(tmp_path / "seed")
+    rows = small.ref("module")
+    rows.coalesce(1).write.csv(path, header=True, encoding="UTF-8")
+    n = rows.count()
+    names = rows.columns
+    number = next(f.name for f in rows.schema.fields if f.dataType.simpleString() in ("int", "bigint"))
+    bad = ",".join("many" if c == number else "x" for c in names)
+    with open(f"{path}/more.csv", "w", encoding="UTF-8") as file:
+        file.write(",".join(names) + "\n" + bad + "\n" + "only one\n" + ",".join(["1"] * (len(names) + 2)) + "\n")
+    accepted, rejected = readers.read_module_seed_lines(spark, path)
+    assert accepted.exceptAll(rows).isEmpty() and accepted.count() == n and accepted.schema == rows.schema
+    found = rejected.collect()
+    assert len(found) == 3 and bad in {r.line for r in found} and all(r.file.endswith("more.csv") for r in found)
