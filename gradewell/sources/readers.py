@@ -42,7 +42,7 @@ def read_module_seed_lines(spark: SparkSession, path: str, **options: str) -> tu
 
     A line is rejected if a value is not of its type or if it has more or fewer values than there are columns.
     """
-    header = ",".join(f.name for f in t.MODULE.fields)
+    header = ",".join(f.name.replace(" ", "") for f in t.MODULE.fields)
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     lines = lines.filter((F.trim("value") != "") & (F.translate("value", '"\ufeff ', "") != header))
     schema = T.StructType([*t.MODULE.fields, T.StructField("line", T.StringType())])
