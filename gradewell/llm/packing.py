@@ -47,14 +47,13 @@ STOCK = 8
 STEP = 16 * LARGEST
 OPEN = 8
 #: Words a task remembers, and characters it encodes at a time.
-MEMORY, SLICE = 300_000, 1 << 20
+MEMORY, SLICE = 600_000, 1 << 20
 
 #: Blanks of the vocabulary; of Python's own, these four characters are none.
 _BLANK = re.compile(r"[^\S\x1c-\x1f]+")
 _ODD = re.compile(r"[\x1c-\x1f]").search
 #: Words of characters that no normalisation joins or splits, and how the vocabulary cuts them.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-_LOWER = re.compile(r"[!-@\[-~ß-öø-ÿ]+").fullmatch
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 #: Rows a task sends at once.
 ROWS = 10_000
@@ -84,16 +83,27 @@ class Encoder:
         self.pieces = vocabulary.Recent(self._pieces, MEMORY)
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
-        spell, split, whole = vocabulary.SPELLED, self.model.tokenize, self.library.encode
-        return [
-            array("I", [t.id for t in split(p.translate(spell))] if _LOWER(p) and "<|" not in p else whole(p, add_special_tokens=False).ids).tobytes()
-            for p in pieces
-        ]
+        spell, split = vocabulary.SPELLED, self.model.tokenize
+        return [array("I", [t.id for t in split(p if p.isascii() else p.translate(spell))]).tobytes() for p in pieces]
+
+    def _cut(self, word: str) -> list[str]:
+        """The pieces of a plain word; none for any other."""
+        if word.isascii():
+            if word.isalpha():
+                return [word.lower()]
+            return _PIECE.findall(word.lower()) if word.isprintable() and "<|" not in word else []
+        return _PIECE.findall(word.lower()) if _PLAIN(word) and "<|" not in word else []
 
     def _words(self, words: list[str]) -> Iterator[bytes]:
-        cut = [_PIECE.findall(w.lower()) if _PLAIN(w) and "<|" not in w else [w] for w in words]
+        cut = list(map(self._cut, words))
         ids = iter(next(self.pieces.each([list(chain.from_iterable(cut))])))
-        return (next(ids) if len(pieces) == 1 else b"".join(islice(ids, len(pieces))) for pieces in cut)
+        for word, pieces in zip(words, cut):
+            if len(pieces) == 1:
+                yield next(ids)
+            elif pieces:
+                yield b"".join(islice(ids, len(pieces)))
+            else:
+                yield array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of every text, with the closing one."""
