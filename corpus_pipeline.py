@@ -26,7 +26,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines many of them share; ``n_chars`` follows the text.  No document goes."""
-    frequent = line_dedup.frequent_keys([docs], queries.LINE_DOCUMENTS, queries.LINE_CHARS)
+    frequent = line_dedup.frequent_keys(line_dedup.scan_batches(docs), queries.LINE_DOCUMENTS, queries.LINE_CHARS)
     stripped = line_dedup.strip(docs, frequent)
     if "n_chars" in docs.columns:
         stripped = stripped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -157,7 +157,9 @@ def windows_of(items: list[tuple[str | None, str | None]], window: int = WINDOW)
 def matches(postings: np.ndarray, rows: np.ndarray, n_terms: int, slop: int) -> tuple[np.ndarray, np.ndarray]:
     """Windows found, and the places of all their words (one row for each occurrence).
 
-    An occurrence has a start from which every term stands at its offset, or up to ``slop`` words beside it.
+    An occurrence has a start from which every term stands at its offset, or up to ``slop`` words beside it; a word
+    stands for one term only.  Equal terms of a window take places in the order of their offsets, each the first left:
+    their ranges are of one length and begin in that order, so no other choice finds more.
     """
     bounds = np.searchsorted(postings, np.arange(n_terms + 1) << TERM)
     lengths = np.diff(bounds)
@@ -173,10 +175,16 @@ def matches(postings: np.ndarray, rows: np.ndarray, n_terms: int, slop: int) ->
     start = place - order[window, 0] + np.tile(shifts, len(inside))
     found = np.zeros((len(window), size), np.int64)
     found[np.arange(len(window)), order[window, 0]] = place
+    before = np.full_like(rows, -1)  # the offset of the same term before, or -1
+    for k in range(1, size) if slop else ():
+        for j in range(k):
+            before[rows[:, j] == rows[:, k], k] = j
     for k in range(1, size):
         offset = order[window, k]
         term = rows[alive[window], offset] << TERM
         low, high = start + offset - slop, start + offset + slop
+        same = before[alive[window], offset]
+        low = np.where(same < 0, low, np.maximum(low, found[np.arange(len(window)), same] + 1))
         at = np.minimum(np.searchsorted(postings, term + np.maximum(low, 0)), len(postings) - 1)
         keep = (high >= 0) & (postings[at] >= term + np.maximum(low, 0)) & (postings[at] <= term + np.maximum(high, 0))
         found[np.arange(len(window)), offset] = postings[at] & (1 << TERM) - 1

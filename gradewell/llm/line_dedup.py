@@ -1,9 +1,10 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-The store (:class:`LineRuns`) grows batch by batch.  A batch adds one run: its line keys as 128-bit hashes with the
-number of documents that have them, bucketed by hash and sorted in each bucket.  When a level holds ``fanout`` runs
-they are merged into one run of the next level, so a key is rewritten a logarithmic number of times and lookups meet
-few runs.  Buckets of runs and batches agree, so a batch is merge-anti-joined with the runs without moving them.
+The store (:class:`LineRuns`) grows batch by batch.  The line keys of a batch, as 128-bit hashes with the number of
+its documents that have them, are bucketed by hash, sorted in each bucket and merge-anti-joined with the runs: keys
+that no run holds become a new run, counts of known keys go to a run of additions.  So a key is in one run of keys.
+When a level holds ``fanout`` runs they are merged into one run of the next level, so a key is rewritten a logarithmic
+number of times and lookups meet few runs.  Buckets of runs and batches agree, so no run is moved by a join.
 
 Two uses: :meth:`LineRuns.new_lines` keeps what no earlier batch had, and adds the batch; :func:`drop_frequent` takes
 a corpus whose batches have all been added and drops the lines of keys found in many documents.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from gradewell.operators.skew import hot_keys, join_split
 
 #: Runs of one level before they are merged.
 FANOUT = 4
+#: Batches of a stored table.  Every batch reads the runs before it, so more batches read more; these reach two levels.
+BATCHES = 6
 #: A list of keys up to this many rows (16 bytes each) is sent to every task; a longer one is joined by sorting.
 BROADCAST_ROWS = 500_000
 TRIM = " \t\n\x0b\f\r"
@@ -60,7 +64,8 @@ class LineRuns:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"llm_lines_{uuid.uuid4().hex[:12]}"
         self.folder = scratch(spark, "line-runs")
-        self.levels: list[list[str]] = []
+        self.levels: list[list[str]] = []  # keys, each in one run
+        self.additions: list[list[str]] = []  # later counts of these keys
         self.written = 0
 
     def _write(self, run: DataFrame) -> str:
@@ -83,21 +88,27 @@ class LineRuns:
         files = self.spark.read.schema(RUN).parquet(*(f"{self.folder}/{table}" for table in tables))
         return files.groupBy(*KEY).agg(F.sum("n").alias("n"))
 
-    def runs(self) -> list[str]:
+    def key_runs(self) -> list[str]:
         return [table for level in self.levels for table in level]
 
-    def _add(self, run: DataFrame) -> None:
-        self._place(0, self._write(run))
-
-    def _place(self, level: int, table: str) -> None:
-        if level == len(self.levels):
-            self.levels.append([])
-        self.levels[level].append(table)
-        if len(self.levels[level]) >= self.fanout:
-            full, self.levels[level] = self.levels[level], []
+    def runs(self) -> list[str]:
+        return self.key_runs() + [table for level in self.additions for table in level]
+
+    def _place(self, levels: list[list[str]], level: int, table: str) -> None:
+        if level == len(levels):
+            levels.append([])
+        levels[level].append(table)
+        if len(levels[level]) >= self.fanout:
+            full, levels[level] = levels[level], []
             merged = self._write(self._merged(full))
             self._drop(full)
-            self._place(level + 1, merged)
+            self._place(levels, level + 1, merged)
+
+    def unknown(self, lines: DataFrame, tables: list[str]) -> DataFrame:
+        """Rows whose key is in none of the runs; rows in the buckets of the runs are not moved, nor are the runs."""
+        for table in tables:
+            lines = lines.join(self.spark.table(table).select(*KEY).hint("merge"), KEY, "left_anti")
+        return lines
 
     def _drop(self, tables: list[str]) -> None:
         """Delete merged runs; their tables are external, so the files go with the folder."""
@@ -108,8 +119,17 @@ class LineRuns:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def add(self, batch: DataFrame, text: str = "text", min_chars: int = 1) -> None:
-        """Add a batch of documents as a new run."""
-        self._add(document_counts(batch, text, min_chars))
+        """Add a batch of documents: its new keys as a run, the counts of keys some run holds as a run of additions."""
+        counted = self._write(document_counts(batch, text, min_chars))
+        known = self.key_runs()
+        if not known:
+            self._place(self.levels, 0, counted)
+            return
+        fresh = self._write(self.unknown(self.spark.table(counted), known))
+        repeated = self._write(self.unknown(self.spark.table(counted), [fresh]))
+        self._drop([counted])
+        self._place(self.levels, 0, fresh)
+        self._place(self.additions, 0, repeated)
 
     def compact(self) -> str | None:
         """Merge all runs into one; its table, or None if nothing was added."""
@@ -117,9 +137,14 @@ class LineRuns:
         if len(tables) > 1:
             merged = self._write(self._merged(tables))
             self._drop(tables)
-            self.levels = [[], [merged]]
+            self.levels, self.additions = [[], [merged]], []
         return next(iter(self.runs()), None)
 
+    def close(self) -> None:
+        """Delete all runs, their names in the session catalog included."""
+        self._drop(self.runs())
+        self.levels, self.additions = [], []
+
     def new_lines(self, batch: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 1) -> DataFrame:
         """Lines of a batch (key, place, line) whose key is in no run yet; then the batch is added.
 
@@ -128,30 +153,39 @@ class LineRuns:
         """
         placed = packed(batch).select(field(key).alias(key), F.posexplode(lines_of(field(text))).alias("place", "line"))
         lines = hashed(placed.withColumn("_key", line_key(F.col("line"))), "_key")
-        lines = lines.repartition(self.buckets, *KEY)
-        for table in self.runs():
-            lines = lines.join(self.spark.table(table).select(*KEY).hint("merge"), KEY, "left_anti")
+        lines = self.unknown(lines.repartition(self.buckets, *KEY), self.key_runs())
         fresh = stored(lines.drop("_key", *KEY), "new-lines")
         self.add(batch, text, min_chars)
         return fresh
 
 
-def file_batches(spark: SparkSession, path: str, batches: int = 4) -> list[DataFrame]:
-    """A stored Parquet table as batches of whole files, dealt by the hash of their names.
+def scan_batches(docs: DataFrame, batches: int = BATCHES) -> list[DataFrame]:
+    """The scan of a stored table as batches of whole files, dealt by the hash of their names.
 
-    Spark leaves out the files of other batches when it plans the scan; no file name comes here.
+    Spark leaves out the files of other batches when it plans the scan; no file name comes here.  A frame that is no
+    scan of files is one batch.
     """
-    whole = spark.read.parquet(path)
-    part = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(batches))
-    return [whole.filter(part == k) for k in range(batches)]
+    try:
+        part = F.pmod(F.xxhash64(docs.metadataColumn("_metadata")["file_path"]), F.lit(batches))
+        return [docs.filter(part == k) for k in range(batches)]
+    except AnalysisException:
+        return [docs]
+
+
+def file_batches(spark: SparkSession, path: str, batches: int = BATCHES) -> list[DataFrame]:
+    """A stored Parquet table in batches, see :func:`scan_batches`."""
+    return scan_batches(spark.read.parquet(path), batches)
 
 
 def frequent_keys(batches: list[DataFrame], min_docs: int, min_chars: int = 1, text: str = "text") -> DataFrame:
     """Keys (h1, h2) found in at least ``min_docs`` documents of all batches, with their counts n, stored."""
-    runs = LineRuns(batches[0].sparkSession)
+    spark = batches[0].sparkSession
+    runs = LineRuns(spark)
     for batch in batches:
         runs.add(batch, text, min_chars)
-    return stored(batches[0].sparkSession.table(runs.compact()).filter(F.col("n") >= min_docs), "frequent-lines")
+    frequent = stored(spark.table(runs.compact()).filter(F.col("n") >= min_docs), "frequent-lines")
+    runs.close()
+    return frequent
 
 
 def _without_frequent(docs: DataFrame, frequent: DataFrame, key: str, text: str) -> DataFrame:
@@ -171,7 +205,7 @@ def _without_frequent(docs: DataFrame, frequent: DataFrame, key: str, text: str)
         found = lines.join(F.broadcast(frequent.select(*KEY)), KEY)
     else:
         hot = hot_keys(frequent.withColumnRenamed("n", "n_rows"), KEY, F.lit(total))
-        found = join_split(lines, frequent.select(*KEY), KEY, hot, "_t1")
+        found = join_split(lines, frequent.select(*KEY), KEY, hot, "_doc, _t1")
     gone = (
         found.groupBy(*ident)
         .agg(F.collect_set("place").alias("gone"))

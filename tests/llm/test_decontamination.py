@@ -70,6 +70,28 @@ def test_proximity(spark):
     assert near(1) == {1: [0, 1, 3, 4], 2: [0, 1, 2, 3], 4: [0, 1, 2, 3]}
 
 
+def near(places, terms, slop):
+    """Whether some start puts every term on a place of its own, at most ``slop`` beside its offset."""
+    def assign(start, k, used):
+        return k == len(terms) or any(
+            w == terms[k] and p not in used and abs(p - start - k) <= slop and assign(start, k + 1, used | {p})
+            for p, w in enumerate(places)
+        )
+    return any(assign(start, 0, frozenset()) for start in range(-slop, len(places) + slop))
+
+
+def test_a_word_stands_for_one_term(spark):
+    draw = random.Random(5)
+    docs = [(k, " ".join(draw.choices("xyz", weights=[3, 2, 1], k=draw.randint(1, 7)))) for k in range(60)]
+    docs.append((60, "x y"))
+    index = dc.build_index(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(2))
+    items = [(k, " ".join(draw.choices("xyz", weights=[3, 2, 1], k=4))) for k in range(8)] + [(8, "x x"), (9, "x x x")]
+    for slop in (0, 1, 2):
+        found = dc.search(index, spark.createDataFrame(items, ITEMS), 4, slop)
+        got = {r.key: set(r["items"]) for r in found.collect()}
+        assert got == {k: {str(i) for i, t in items if near(text.split(), t.split(), slop)} for k, text in docs}
+
+
 def test_phrases_do_not_cross_documents(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c d")], "doc_id bigint, text string").coalesce(1)
     found = dc.search(dc.build_index(docs), spark.createDataFrame([(1, "a b c d"), (2, "b c")], ITEMS), 4)

@@ -100,3 +100,53 @@ def test_files_are_dealt_to_batches_by_name(spark, tmp_path):
     assert sum(len(b.inputFiles()) > 0 for b in batches) > 1
     rows = [r.doc_id for b in batches for r in b.collect()]
     assert sorted(rows) == list(range(50)) and all(b.columns == ["doc_id", "text"] for b in batches)
+
+
+def test_a_key_is_in_one_run_and_later_counts_are_additions(spark):
+    runs = line_dedup.LineRuns(spark, fanout=2, buckets=2)
+    texts = [f"common\nline {k}\nline {k // 2}\nline {k // 5}" for k in range(11)]
+    for k, text in enumerate(texts):
+        runs.add(spark.createDataFrame([(k, text)], "doc_id bigint, text string"))
+        keys = [(r.h1, r.h2) for t in runs.key_runs() for r in spark.table(t).collect()]
+        assert len(keys) == len(set(keys)) and all(len(level) < 2 for level in runs.levels + runs.additions)
+    assert len(runs.levels) > 2 and any(runs.additions)
+    expected = Counter(k for text in texts for k in {key_of(line) for line in text.split("\n")})
+    runs.compact()
+    assert sorted(counts(spark, runs).values()) == sorted(expected.values())
+    runs.close()
+    assert not runs.runs() and not [t for t in spark.catalog.listTables() if t.name.startswith(runs.name)]
+
+
+def test_the_corpus_goes_batch_by_batch_through_the_anti_join(spark, monkeypatch, tmp_path):
+    path = f"{tmp_path}/documents"
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('own ', id, '\nline ', id % 40, '\nall') AS text")
+    docs.repartition(24).write.parquet(path)
+    plans, levels = [], []
+    unknown, close = line_dedup.LineRuns.unknown, line_dedup.LineRuns.close
+
+    def watched(self, lines, tables):
+        found = unknown(self, lines, tables)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    def closed(self):
+        levels.append(self.written)
+        close(self)
+
+    monkeypatch.setattr(line_dedup.LineRuns, "unknown", watched)
+    monkeypatch.setattr(line_dedup.LineRuns, "close", closed)
+    batches = line_dedup.scan_batches(spark.read.parquet(path))
+    assert len(batches) == line_dedup.BATCHES > line_dedup.FANOUT
+    frequent = line_dedup.frequent_keys(batches, 8)
+    assert sorted(r.n for r in frequent.collect()) == sorted(
+        [300] + [len(range(k, 300, 40)) for k in range(40) if len(range(k, 300, 40)) >= 8]
+    )
+    assert len(plans) == 2 * (line_dedup.BATCHES - 1) and levels[0] > line_dedup.BATCHES
+    assert all("LeftAnti" in p and "SortMergeJoin" in p and "Exchange" not in p for p in plans)
+
+
+def test_a_frame_that_is_no_scan_is_one_batch(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    assert line_dedup.scan_batches(docs.groupBy("doc_id", "text").count()) != [] and len(line_dedup.scan_batches(docs)) == 1
+    named = spark.createDataFrame([(1, "a", "x")], "doc_id bigint, text string, _metadata string")
+    assert len(line_dedup.scan_batches(named)) == 1
