@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from gradewell.functions import rules  # noqa: E402
-from gradewell.operators import cleaning, dimensions, enrichment, quality, streaks  # noqa: E402
+from gradewell.operators import cleaning, dependencies, dimensions, enrichment, quality, streaks  # noqa: E402
 from gradewell.oracle import oracle_sql as _oracle_sql  # noqa: E402
 from gradewell.plans import checks, cohorts, documented_views, fields, modules, programme, progress, risk, students  # noqa: E402
+from gradewell.plans.refresh import GrowingTables  # noqa: E402
 from gradewell.plans.warehouse import INTERNAL, KPIS, LAYERS, Warehouse, fixture_warehouse  # noqa: E402
 from gradewell.sources import fixtures, readers, sinks  # noqa: E402
 
@@ -93,6 +94,15 @@ def _create_or_replace_table(w: Warehouse) -> DataFrame:
     return sinks.create_or_replace_table(w.ref("study_progress_kpi"), name, w.path(name))
 
 
+def _fact_kpi_incremental(w: Warehouse) -> DataFrame:
+    """The fact after all records have come in two batches, the later one among students that are known."""
+    tables = GrowingTables(w.spark, lambda: w.ref("module"), w.path("growing"), parts=16)
+    late = F.pmod(F.xxhash64("attempt_id"), F.lit(4)) == 0
+    tables.append(w.ref("students").filter(~late), "first")
+    tables.append(w.ref("students").filter(late), "second")
+    return tables.ref("fact_kpi")
+
+
 SOURCES: dict[str, Query] = {
     "scan_students": _on(_scan_students),
     "seed_module": _on(_seed_module),
@@ -102,6 +112,7 @@ SOURCES: dict[str, Query] = {
     "write_table": _on(_write_table),
     "create_view": _on(_create_view),
     "create_or_replace_table": _on(_create_or_replace_table),
+    "fact_kpi_incremental": _on(_fact_kpi_incremental),
     "create_enum": _on(lambda w: cleaning.enum_usage(w.ref("stg_students_clean"))),
 }
 
@@ -287,6 +298,8 @@ DOCUMENTED: dict[str, Query] = {
     "dedupe_raw": _on(lambda w: checks.dedupe_raw(w.ref("students"))),
     "invalid_combo_report": _on(lambda w: checks.invalid_combo_report(w.ref("stg_students_with_credits"), w.ref("dim_modul"))),
     "anomaly_counts": _on(lambda w: checks.anomaly_counts(w.ref("students"), w.ref("stg_students_with_credits"), w.ref("dim_modul"))),
+    "dependency_report": _on(lambda w: dependencies.dependency_report(w.ref("students"), checks.DEPENDENCIES)),
+    "dependency_search": _on(lambda w: dependencies.dependency_search(w.ref("module"), list(checks.SEARCHED))),
     "profile_distinct": _on(lambda w: checks.profile_distinct(w.ref("students"))),
 }
 

@@ -62,6 +62,24 @@ SAME_NAME = (
 )
 PROFILED = ("Note", "Modulnummer", "Jahr", "Semester", "Vermerk", "Studienrichtung")
 
+
+
+def _dependency(table: str, determinant: tuple[str, ...], value: str) -> str:
+    """Rows that a dependency leaves over in groups of equal determinants, the most frequent value kept."""
+    left = ", ".join(f'"{c}"' for c in determinant)
+    return f"""SELECT '{", ".join(determinant)} -> {value}' AS dependency, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_groups,
+  count(*) FILTER (WHERE n_values > 1) AS broken_groups, CAST(sum(n - kept) AS BIGINT) AS rows_to_delete, {len(determinant)} AS n_determinants
+FROM (SELECT sum(c) AS n, max(c) AS kept, count(*) AS n_values
+  FROM (SELECT {left}, "{value}" AS v, count(*) AS c FROM {table} GROUP BY {left}, v) GROUP BY {left})"""
+
+
+SEARCHED = ("Modulnummer", "Modul", "Acronym", "Art", "Credits", "Semester", "AbJahr", "Studienrichtung")
+_SINGLE = {(a, v): _dependency("raw_module", (a,), v) for a in SEARCHED for v in SEARCHED if a != v}
+_PAIRS = {
+    (a, b, v): _dependency("raw_module", (a, b), v)
+    for i, a in enumerate(SEARCHED) for b in SEARCHED[i + 1 :] for v in SEARCHED if v not in (a, b)
+}
+
 STATEMENTS: dict[str, str] = {name: f"SELECT * FROM {name}" for name in (*LAYER_NAMES, *KPI_NAMES, *SAME_NAME)}
 STATEMENTS |= {
     # sources and sinks
@@ -176,6 +194,22 @@ STATEMENTS |= {
       FROM student_kpi k JOIN student_facts f USING (student_id) JOIN (SELECT student_id, max(term) AS last_term FROM dated GROUP BY student_id) t USING (student_id)
       LEFT JOIN (SELECT student_id, grade_change FROM study_progress QUALIFY row_number() OVER (PARTITION BY student_id ORDER BY term_counter DESC) = 1) p USING (student_id)""",
     "dedupe_raw": """SELECT "studentID", "Modul", "Note", "Modulnummer", "Jahr", "Semester", "Vermerk", "Studienrichtung", min(attempt_id) AS attempt_id FROM raw_students GROUP BY ALL""",
+    "dependency_report": "SELECT * EXCLUDE (n_determinants), rows_to_delete / n_rows AS violation FROM (\n"
+    + "\nUNION ALL ".join(
+        _dependency("raw_students", *d)
+        for d in (
+            (("Modulnummer",), "Modul"), (("Modul",), "Modulnummer"), (("studentID",), "Studienrichtung"),
+            (("studentID", "Modulnummer", "Jahr", "Semester"), "Note"),
+        )
+    )
+    + ")",
+    "dependency_search": "SELECT * EXCLUDE (parts, holding) FROM (SELECT *, list(dependency) OVER () AS holding FROM (\n"
+    + "\nUNION ALL ".join(
+        [f"SELECT *, CAST([] AS VARCHAR[]) AS parts FROM ({q})" for q in _SINGLE.values()]
+        + [f"SELECT *, ['{a} -> {v}', '{b} -> {v}'] AS parts FROM ({q})" for (a, b, v), q in _PAIRS.items()]
+    )
+    + ") WHERE rows_to_delete = 0) WHERE NOT list_has_any(parts, holding)",
+    "fact_kpi_incremental": "SELECT * FROM fact_kpi",
     "invalid_combo_report": _findings(
         "stg_students_with_credits",
         {

@@ -98,6 +98,16 @@ DECLARED = {
 RAW_COLUMNS = ("studentID", "Modul", "Note", "Modulnummer", "Jahr", "Semester", "Vermerk", "Studienrichtung")
 PROFILED = ("Note", "Modulnummer", "Jahr", "Semester", "Vermerk", "Studienrichtung")
 
+#: What raw records ought to determine (our choice).
+DEPENDENCIES = [
+    (("Modulnummer",), "Modul"),
+    (("Modul",), "Modulnummer"),
+    (("studentID",), "Studienrichtung"),
+    (("studentID", "Modulnummer", "Jahr", "Semester"), "Note"),
+]
+#: Columns of the catalogue among which dependencies are searched.
+SEARCHED = ("Modulnummer", "Modul", "Acronym", "Art", "Credits", "Semester", "AbJahr", "Studienrichtung")
+
 
 def dedupe_raw(students: DataFrame) -> DataFrame:
     """Equal raw records once, with the smallest id.
