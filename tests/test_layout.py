@@ -47,7 +47,7 @@ def test_attempts_are_moved_to_their_student_once(spark, opened):
     """After the cleaned table neither the dimension nor the credits move anything but one row a student or less."""
     w = opened[0]
     w.ref("stg_students_with_credits")
-    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), setting(spark, SPREAD_BY_ALL_KEYS, "false"):
+    with setting(spark, SPREAD_BY_ALL_KEYS, "false"):
         assert "Exchange hashpartitioning(student_id" not in plan(LAYERS["dim_students"](w))
         assert "Exchange hashpartitioning(student_id" not in plan(LAYERS["stg_students_with_credits"](w))
     assert spark.conf.get(SPREAD_BY_ALL_KEYS, "true") == "true"
@@ -68,3 +68,12 @@ def test_spread_join_without_hot_keys_is_plain(spark):
         assert all(same(expected, join_spread(rows, lookup, ["k"], hot, "row_id", how)) for hot in (none, some))
     assert "_split" not in plan(join_spread(rows, lookup, ["k"], none, "row_id"))
     assert "_split" in plan(join_spread(rows, lookup, ["k"], some, "row_id"))
+
+
+def test_progress_and_summary_read_the_fact_where_it_lies(opened):
+    """The fact is kept by student as well; only with a hot student is it moved for them."""
+    lying, plain = opened
+    for w, moved in ((lying, False), (plain, True)):
+        w.ref("fact_kpi")
+        for name in ("study_progress_rows", "student_summary"):
+            assert ("Exchange hashpartitioning(student_id" in plan(LAYERS[name](w))) is moved, name
