@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -101,3 +102,41 @@ def test_nothing_has_arrived(spark, raw, tmp_path):
     assert all(tables.ref(name).count() == 0 for name in TABLES)
     undated = raw[0].limit(3).withColumn("Jahr", F.lit(None).cast("bigint"))
     assert tables.append(undated, "undated") > 0 and tables.ref("fact_kpi").count() == 0
+
+
+@pytest.mark.parametrize("rows_per_task", [20, 10_000])  # students too large for a task, and none
+def test_builds_by_student_equal_a_full_build(spark, raw, tmp_path, rows_per_task):
+    """Attempts lie by student within their parts; parts without new records keep their files."""
+    records, folder = raw[0], str(tmp_path / "it's grown")
+    tables = GrowingTables(spark, raw[1], folder, parts=8, rows_per_task=rows_per_task, buckets=3)
+    before = {c.name for c in spark.catalog.listTables()}
+    tables.append(records.filter("attempt_id % 2 = 0"), "a/1")
+    mine = records.filter("attempt_id % 2 = 1 AND studentID = 7")
+    touched = mine.selectExpr("CAST(pmod(xxhash64(studentID), 8) AS int)").first()[0]
+    others = [p for p in range(8) if p != touched]
+    kept = files(folder, others)
+    assert tables.append(mine, "b") == 1
+    assert kept and files(folder, others) == kept
+    # the same batch again, in another number of buckets
+    assert GrowingTables(spark, raw[1], folder, parts=8, rows_per_task=rows_per_task, buckets=5).append(mine, "b") == 1
+    assert {c.name for c in spark.catalog.listTables()} == before
+    expected = full(spark, raw, tmp_path / "full", records.filter("attempt_id % 2 = 0 OR studentID = 7"))
+    for name in TABLES:
+        assert tables.ref(name).columns == expected.ref(name).columns
+        assert rows_of(tables.ref(name)) == rows_of(expected.ref(name)), name
+
+
+def test_a_build_moves_attempts_to_their_student_once(spark, raw, tmp_path, monkeypatch):
+    from test_plans import plan
+
+    plans, write = {}, GrowingTables._write_by_student
+
+    def seen(self, name, table, rows):
+        plans[name] = plan(self._parted(self._placed(rows)))
+        return write(self, name, table, rows)
+
+    monkeypatch.setattr(GrowingTables, "_write_by_student", seen)
+    GrowingTables(spark, raw[1], str(tmp_path), parts=8, buckets=3).append(raw[0], "all")
+    moved = {name: len(re.findall(r"Exchange hashpartitioning\(student_id", text)) for name, text in plans.items()}
+    assert moved.pop("stg_students_clean") == 1
+    assert moved.pop("student_profile") and moved and not any(moved.values()), moved
